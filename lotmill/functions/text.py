@@ -52,17 +52,30 @@ def lookup_or_default(c: Column | str, mapping: Mapping, default) -> Column:
     return F.coalesce(F.element_at(literal_map(mapping), _col(c)), F.lit(default))
 
 
+def plain_name(c: Column | str) -> Column:
+    """Folded, hyphens for underscores, no other punctuation."""
+    return F.regexp_replace(F.translate(fold(c), "_", "-"), _NOT_WORD, "")
+
+
+def unless_dropped(c: Column | str, drop: Iterable[str], aliases: Mapping[str, str]) -> Column:
+    """Null for the unwanted names, otherwise the alias or the name itself."""
+    name = _col(c)
+    return F.when(~name.isin(list(drop)), lookup_or_self(name, aliases))
+
+
+def without_punctuation(c: Column | str) -> Column:
+    """Word characters and hyphens only; nothing left -> null."""
+    return F.nullif(F.regexp_replace(_col(c), _NOT_WORD, ""), F.lit(""))
+
+
 def brand_name(c: Column | str, aliases=rules.BRAND_ALIASES, drop=rules.BRANDS_TO_DROP) -> Column:
     """Hyphenate, strip punctuation, null the unwanted names, then apply aliases."""
-    name = F.regexp_replace(F.translate(fold(c), "_", "-"), _NOT_WORD, "")
-    return F.when(~name.isin(list(drop)), lookup_or_self(name, aliases))
+    return unless_dropped(plain_name(c), drop, aliases)
 
 
 def model_name(c: Column | str, aliases=rules.MODEL_ALIASES, drop=rules.MODELS_TO_DROP) -> Column:
     """Like :func:`brand_name`, but aliases see the punctuation and empty results become null."""
-    name = F.translate(fold(c), "_", "-")
-    name = F.regexp_replace(F.when(~name.isin(list(drop)), lookup_or_self(name, aliases)), _NOT_WORD, "")
-    return F.nullif(name, F.lit(""))
+    return without_punctuation(unless_dropped(F.translate(fold(c), "_", "-"), drop, aliases))
 
 
 def category(c: Column | str, aliases: Mapping[str, str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotmill import rules
 from lotmill.functions.numeric import to_integer, to_number
-from lotmill.functions.text import blank_placeholders, brand_name, category, fold, model_name
+from lotmill.functions.text import fold, lookup_or_self, plain_name, unless_dropped, without_punctuation
 from lotmill.operators.copies import drop_copies
 from lotmill.operators.filters import cap_outliers, remove_invalid
 from lotmill.operators.lookups import attach
@@ -20,22 +20,39 @@ from lotmill.operators.quality import rule_violations
 
 
 def coerce(df: DataFrame, columns: Sequence[str] = rules.LISTING_COLUMNS) -> DataFrame:
-    """Expected layout, numeric types (bad text -> null), folded text without placeholders."""
+    """Expected layout, numeric types (bad text -> null), folded text without placeholders.
+
+    Each text step is its own projection: a value used several times in the next step would
+    otherwise be written out, and computed, once per use.
+    """
     df = require_columns(df, columns)
+    texts = [c for c in rules.TEXT_COLUMNS if c in df.columns]
     typed = {c: to_number(c) for c in ("power", "kilometer", "price")}
     typed["yearOfRegistration"] = to_integer("yearOfRegistration")
-    typed.update({c: blank_placeholders(fold(c)) for c in rules.TEXT_COLUMNS if c in df.columns})
-    return df.withColumns(typed)
+    typed.update({c: fold(c) for c in texts})
+    return df.withColumns(typed).withColumns({c: _unless_placeholder(c) for c in texts})
+
+
+def _unless_placeholder(column: str):
+    return F.when(~F.col(column).isin(rules.MISSING_PLACEHOLDERS), F.col(column))
+
+
+CATEGORY_ALIASES = {
+    "vehicleType": rules.VEHICLE_ALIASES, "fuelType": rules.FUEL_ALIASES,
+    "seller": rules.SELLER_ALIASES, "gearbox": rules.GEARBOX_ALIASES,
+}
 
 
 def normalise_text(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "brand": brand_name("brand"), "model": model_name("model"),
-        "vehicleType": category("vehicleType", rules.VEHICLE_ALIASES),
-        "fuelType": category("fuelType", rules.FUEL_ALIASES),
-        "seller": category("seller", rules.SELLER_ALIASES),
-        "gearbox": category("gearbox", rules.GEARBOX_ALIASES),
-    })
+    """Brand, model and category spelling, in three projections (see :func:`coerce`)."""
+    spelled = {"brand": plain_name("brand"), "model": F.translate(fold("model"), "_", "-")}
+    spelled.update({c: F.translate(fold(c), "_ ", "--") for c in CATEGORY_ALIASES})
+    named = {
+        "brand": unless_dropped("brand", rules.BRANDS_TO_DROP, rules.BRAND_ALIASES),
+        "model": unless_dropped("model", rules.MODELS_TO_DROP, rules.MODEL_ALIASES),
+    }
+    named.update({c: lookup_or_self(c, aliases) for c, aliases in CATEGORY_ALIASES.items()})
+    return df.withColumns(spelled).withColumns(named).withColumn("model", without_punctuation("model"))
 
 
 def fill_tables(df: DataFrame, group: str, columns: Sequence[str], constant: dict[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -234,11 +234,11 @@ def c13(spark, sf):
         *KEYS, F.round(F.log1p("kilometer"), 6).alias("log_km"), F.round(F.log10("price"), 6).alias("log10_price"), F.round(F.log("price"), 6).alias("ln_price"))
 
 
-@query("c14_ratio_features", _row('2020 - "yearOfRegistration" AS age, round(kilometer / nullif(2020 - "yearOfRegistration" + 1, 0), 7) AS km_per_year, round(kilometer / (power + 1), 7) AS km_power_ratio'))
+@query("c14_ratio_features", _row('2020 - "yearOfRegistration" AS age, kilometer / nullif(2020 - "yearOfRegistration" + 1, 0) AS km_per_year, kilometer / (power + 1) AS km_power_ratio'))
 def c14(spark, sf):
     age = num.vehicle_age("yearOfRegistration", 2020)
     return listings(spark, sf, *KEYS, "yearOfRegistration", "kilometer", "power").select(
-        *KEYS, age.alias("age"), F.round(num.per_unit("kilometer", age), 7).alias("km_per_year"), F.round(num.per_unit("kilometer", F.col("power")), 7).alias("km_power_ratio"))
+        *KEYS, age.alias("age"), num.per_unit("kilometer", age).alias("km_per_year"), num.per_unit("kilometer", F.col("power")).alias("km_power_ratio"))
 
 
 @query("c16_half_even", _row("round_even(l_quantity / 8, 2) AS even2, round(l_quantity / 8, 2) AS up2"))
