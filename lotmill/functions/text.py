@@ -26,6 +26,14 @@ def strip(c: Column | str) -> Column:
     return F.btrim(_col(c), F.lit(rules.WHITESPACE))
 
 
+def hyphenate(c: Column | str, *marks: str) -> Column:
+    """The given marks as hyphens. ``replace`` skips text without the mark; ``translate`` walks all of it."""
+    value = _col(c)
+    for mark in marks:
+        value = F.replace(value, F.lit(mark), F.lit("-"))
+    return value
+
+
 def fold(c: Column | str) -> Column:
     """Trim and lower-case."""
     return F.lower(strip(c))
@@ -52,9 +60,13 @@ def lookup_or_default(c: Column | str, mapping: Mapping, default) -> Column:
     return F.coalesce(F.element_at(literal_map(mapping), _col(c)), F.lit(default))
 
 
+def only_word_characters(c: Column | str) -> Column:
+    return F.regexp_replace(_col(c), _NOT_WORD, "")
+
+
 def plain_name(c: Column | str) -> Column:
     """Folded, hyphens for underscores, no other punctuation."""
-    return F.regexp_replace(F.translate(fold(c), "_", "-"), _NOT_WORD, "")
+    return only_word_characters(hyphenate(fold(c), "_"))
 
 
 def unless_dropped(c: Column | str, drop: Iterable[str], aliases: Mapping[str, str]) -> Column:
@@ -65,7 +77,7 @@ def unless_dropped(c: Column | str, drop: Iterable[str], aliases: Mapping[str, s
 
 def without_punctuation(c: Column | str) -> Column:
     """Word characters and hyphens only; nothing left -> null."""
-    return F.nullif(F.regexp_replace(_col(c), _NOT_WORD, ""), F.lit(""))
+    return F.nullif(only_word_characters(c), F.lit(""))
 
 
 def brand_name(c: Column | str, aliases=rules.BRAND_ALIASES, drop=rules.BRANDS_TO_DROP) -> Column:
@@ -75,12 +87,12 @@ def brand_name(c: Column | str, aliases=rules.BRAND_ALIASES, drop=rules.BRANDS_T
 
 def model_name(c: Column | str, aliases=rules.MODEL_ALIASES, drop=rules.MODELS_TO_DROP) -> Column:
     """Like :func:`brand_name`, but aliases see the punctuation and empty results become null."""
-    return without_punctuation(unless_dropped(F.translate(fold(c), "_", "-"), drop, aliases))
+    return without_punctuation(unless_dropped(hyphenate(fold(c), "_"), drop, aliases))
 
 
 def category(c: Column | str, aliases: Mapping[str, str]) -> Column:
     """Hyphenate blanks and underscores, then apply aliases."""
-    return lookup_or_self(F.translate(fold(c), "_ ", "--"), aliases)
+    return lookup_or_self(hyphenate(fold(c), "_", " "), aliases)
 
 
 def _extract(c: Column, pattern: str) -> Column:

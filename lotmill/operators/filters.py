@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotmill import rules
+from lotmill.operators.fixed import Fixed
 from lotmill.operators.order_stats import quantile_row
 
 DOMAIN_BOUNDS = {c: (r["min"], r["max"]) for c, r in rules.CLEANING_RULES.items() if "min" in r}
@@ -45,7 +46,7 @@ def violation_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFra
 
 
 def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict[str, tuple[Column, Column]]:
-    """Per column the (lower, upper) fence as scalar columns."""
+    """Per column the (lower, upper) fence as literals."""
     row = quantile_row(df, columns, {"q1": 0.25, "q3": 0.75})
     fences = {}
     for c in columns:
@@ -55,9 +56,9 @@ def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict[st
 
 
 def zscore(df: DataFrame, column: str, population: bool = False) -> Column:
-    """(x - mean) / std with the statistics as a scalar subquery; null for a constant column."""
+    """(x - mean) / std; null for a constant column."""
     std = F.stddev_pop(column) if population else F.stddev_samp(column)
-    stats = df.agg(F.avg(column).alias("m"), std.alias("s")).select(F.struct("m", "s").alias("t")).scalar()
+    stats = Fixed(df.agg(F.avg(column).alias("m"), std.alias("s")))
     return F.try_divide(F.col(column) - stats.getField("m"), stats.getField("s"))
 
 
@@ -100,10 +101,9 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], statistics_from: DataFra
     lower = {c: b[0] for c, b in DOMAIN_BOUNDS.items()} if lower is None else lower
     source = df if statistics_from is None else statistics_from
     if approximate:
-        wide = source.agg(*[
+        row = Fixed(source.agg(*[
             F.percentile_approx(c, p, 10_000).cast("double").alias(f"{c}_{n}") for c in columns for n, p in (("q1", 0.25), ("q3", 0.75))
-        ])
-        row = wide.select(F.struct(*wide.columns).alias("s")).scalar()
+        ]))
     else:
         row = quantile_row(source.select(*columns), columns, {"q1": 0.25, "q3": 0.75})
     integral = {f.name for f in df.schema.fields if f.dataType.typeName() in ("integer", "long", "short", "byte")}

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lotmill.operators.fixed import Fixed
 from lotmill.functions.numeric import known
 
 ROWS_PER_BUCKET = 2_000_000
@@ -138,14 +139,13 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]
 
 
 def quantile_row(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float] = QUARTILES,
-                 rows_per_bucket: int = ROWS_PER_BUCKET):
-    """All quantiles as one struct usable as a scalar in other plans: ``.getField('price_q1')``."""
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> Fixed:
+    """All quantiles of a table as literals for other plans: ``.getField('price_q1')``."""
     table = quantiles(df, columns, probs, rows_per_bucket=rows_per_bucket)
     fields = [
         F.max(F.when(F.col("column") == c, F.col(name))).alias(f"{c}_{name}") for c in columns for name in probs
     ]
-    wide = table.agg(*fields)
-    return wide.select(F.struct(*wide.columns).alias("s")).scalar()
+    return Fixed(table.agg(*fields))
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotmill import rules
+from lotmill.operators.fixed import Fixed
 from lotmill.functions.numeric import known, minmax
 from lotmill.operators.lookups import attach
 from lotmill.operators.order_stats import (
@@ -87,7 +88,7 @@ def stacked_top(df: DataFrame, row: str, column: str, values: Sequence[str], n:
 def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins between minimum and maximum; the last bin is closed on both sides."""
     value = known(column)
-    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).select(F.struct("lo", "hi").alias("e")).scalar()
+    ends = Fixed(df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")))
     width = (ends.getField("hi") - ends.getField("lo")) / F.lit(float(bins))
     position = F.coalesce(F.try_divide(value - ends.getField("lo"), width), F.lit(0.0))
     bin_no = F.least(F.floor(position), F.lit(bins - 1)).cast("int")
@@ -129,9 +130,9 @@ def density(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
     grid point and task, whatever the table size.
     """
     value = known(column)
-    stats = df.agg(
+    stats = Fixed(df.agg(
         F.count(value).alias("n"), F.stddev_samp(value).alias("s"), F.min(value).alias("lo"), F.max(value).alias("hi")
-    ).select(F.struct("n", "s", "lo", "hi").alias("t")).scalar()
+    ))
     n = stats.getField("n")
     bandwidth = _scott(n, stats.getField("s"), 1)
     start = stats.getField("lo") - cut * bandwidth
@@ -147,11 +148,10 @@ def density(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) ->
 def density_2d(df: DataFrame, x: str, y: str, points: int = 30, cut: float = 3.0) -> DataFrame:
     """Two-dimensional kernel density on a points x points grid with the full covariance matrix."""
     kept = df.select(known(x).alias("_x"), known(y).alias("_y")).dropna()
-    stats = kept.agg(
+    s = Fixed(kept.agg(
         F.count(F.lit(1)).alias("n"), F.var_samp("_x").alias("xx"), F.var_samp("_y").alias("yy"), F.covar_samp("_x", "_y").alias("xy"),
         F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"),
-    )
-    s = stats.select(F.struct(*stats.columns).alias("t")).scalar()
+    ))
     get = s.getField
     shrink = F.pow(get("n").cast("double"), F.lit(-1.0 / 3.0))  # squared Scott factor for two dimensions
     a, b, c = get("xx") * shrink, get("xy") * shrink, get("yy") * shrink
@@ -178,7 +178,7 @@ def linear_fit(df: DataFrame, x: str | Column, y: str | Column) -> DataFrame:
 def normalise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min-max scale columns to 0..1 (constant columns become null)."""
     wide = df.agg(*[F.min(c).alias(f"{c}_lo") for c in columns], *[F.max(c).alias(f"{c}_hi") for c in columns])
-    ends = wide.select(F.struct(*wide.columns).alias("e")).scalar()
+    ends = Fixed(wide)
     return df.withColumns({
         c: minmax(F.col(c).cast("double"), ends.getField(f"{c}_lo"), ends.getField(f"{c}_hi")) for c in columns
     })
@@ -194,7 +194,7 @@ def adjusted_skew(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def outlier_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column the rows outside the quartile fences and beyond three sample deviations, with % of all rows."""
     wide = df.agg(*[F.avg(c).alias(f"{c}_m") for c in columns], *[F.stddev_samp(c).alias(f"{c}_s") for c in columns])
-    stats = wide.select(F.struct(*wide.columns).alias("s")).scalar()
+    stats = Fixed(wide)
     fences = quantile_row(df, columns, {"q1": 0.25, "q3": 0.75})
     cells = {}
     for c in columns:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotmill import rules
+from lotmill.operators.fixed import Fixed
 from lotmill.functions.numeric import known, normal_cdf
 from lotmill.operators.lookups import attach
 from lotmill.operators.order_stats import (
@@ -120,7 +121,7 @@ def zscore_outliers(df: DataFrame, columns: Sequence[str] = rules.NUMERIC_COLUMN
     """Values with |z| above the limit (population std); columns with fewer than two values skipped."""
     columns = _present(df, columns)
     wide = df.agg(*[F.avg(known(c)).alias(f"{c}_m") for c in columns], *[F.stddev_pop(known(c)).alias(f"{c}_s") for c in columns])
-    stats = wide.select(F.struct(*wide.columns).alias("s")).scalar()
+    stats = Fixed(wide)
     cells = {}
     for c in columns:
         z = F.try_divide(known(c) - stats.getField(f"{c}_m"), stats.getField(f"{c}_s"))
@@ -234,7 +235,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] = rules.NUMERIC_COLUMN
     for c in columns:
         table = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(f"{c}_rank"))
         combos = attach(combos, table, [c])
-    middle = (combos.agg(F.sum("_w").alias("n")).scalar() + 1) / 2.0
+    middle = (Fixed(complete.agg(F.count(F.lit(1)).alias("n"))).getField("n") + 1) / 2.0
     centred = combos.select("_w", *[(F.col(f"{c}_rank") - middle).alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     dot = lambda a, b: F.sum(F.col("_w") * F.col(a) * F.col(b))

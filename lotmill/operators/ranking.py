@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotmill.operators.fixed import Fixed
 from lotmill.functions.numeric import minmax
 
 
@@ -47,7 +48,7 @@ def composite_score(df: DataFrame, criteria: Criteria = Criteria()) -> DataFrame
     if criteria.secondary and criteria.secondary in df.columns:
         metrics.append(criteria.secondary)
     wide = df.agg(*[F.min(m).alias(f"{m}_lo") for m in metrics], *[F.max(m).alias(f"{m}_hi") for m in metrics])
-    ends = wide.select(F.struct(*wide.columns).alias("e")).scalar()
+    ends = Fixed(wide)
     scaled = [minmax(F.col(m), ends.getField(f"{m}_lo"), ends.getField(f"{m}_hi"), flat=1.0) for m in metrics]
     if len(scaled) == 1:
         return df.withColumn("composite_score", scaled[0])

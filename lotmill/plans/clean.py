@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotmill import rules
+from lotmill.operators.fixed import Fixed
 from lotmill.functions.numeric import to_integer, to_number
-from lotmill.functions.text import fold, lookup_or_self, plain_name, unless_dropped, without_punctuation
+from lotmill.functions.text import fold, hyphenate, lookup_or_self, only_word_characters, unless_dropped, without_punctuation
 from lotmill.operators.copies import drop_copies
 from lotmill.operators.filters import cap_outliers, remove_invalid
 from lotmill.operators.lookups import attach
@@ -44,9 +45,9 @@ CATEGORY_ALIASES = {
 
 
 def normalise_text(df: DataFrame) -> DataFrame:
-    """Brand, model and category spelling, in three projections (see :func:`coerce`)."""
-    spelled = {"brand": plain_name("brand"), "model": F.translate(fold("model"), "_", "-")}
-    spelled.update({c: F.translate(fold(c), "_ ", "--") for c in CATEGORY_ALIASES})
+    """Brand, model and category spelling of folded text, in three projections (see :func:`coerce`)."""
+    spelled = {"brand": only_word_characters(hyphenate("brand", "_")), "model": hyphenate("model", "_")}
+    spelled.update({c: hyphenate(c, "_", " ") for c in CATEGORY_ALIASES})
     named = {
         "brand": unless_dropped("brand", rules.BRANDS_TO_DROP, rules.BRAND_ALIASES),
         "model": unless_dropped("model", rules.MODELS_TO_DROP, rules.MODEL_ALIASES),
@@ -79,16 +80,21 @@ def fill_tables(df: DataFrame, group: str, columns: Sequence[str], constant: dic
     return wide, final
 
 
-def impute(df: DataFrame, numeric: Sequence[str] = ("power", "yearOfRegistration"), normalise: bool = True) -> DataFrame:
+def impute(df: DataFrame, numeric: Sequence[str] = ("power", "yearOfRegistration")) -> DataFrame:
+    """Normalise the text columns and fill the gaps (see :func:`fill_gaps`)."""
+    folded = df.withColumns({c: fold(c) for c in rules.TEXT_COLUMNS if c in df.columns and c != "dataSource"})
+    return fill_gaps(normalise_text(folded).persist(StorageLevel.MEMORY_AND_DISK), numeric)
+
+
+def fill_gaps(df: DataFrame, numeric: Sequence[str] = ("power", "yearOfRegistration")) -> DataFrame:
     """Fill text columns by the brand's mode, then by a fallback; numbers by their median.
 
     ``brand`` itself is never filled. Pass ``numeric=()`` when earlier steps rule out nulls there.
+    The frame is read twice, so callers persist it when it is expensive to compute.
     """
-    if normalise:
-        df = normalise_text(df)
     targets = [c for c in rules.TEXT_COLUMNS if c != "brand" and c in df.columns]
     wide, final = fill_tables(df, "brand", targets, {"model": "unknown"})
-    fallback = final.select(F.struct(*targets).alias("s")).scalar()
+    fallback = Fixed(final)
     joined = attach(df, wide, ["brand"])
     values = {c: F.coalesce(F.col(c), F.col(f"_{c}"), fallback.getField(c)) for c in targets}
     numeric = [c for c in numeric if c in df.columns]
@@ -100,12 +106,17 @@ def impute(df: DataFrame, numeric: Sequence[str] = ("power", "yearOfRegistration
 
 
 def clean(df: DataFrame, use_iqr_capping: bool = True) -> DataFrame:
-    """The whole chain on a merged table. Duplicates are removed after capping, as capping makes some."""
-    valid = remove_invalid(coerce(df))
-    filled = impute(valid, numeric=())  # the domain filter leaves no null numbers
+    """The whole chain on a merged table. Duplicates are removed after capping, as capping makes some.
+
+    The valid, normalised rows are needed three times (counts for the fill values, quantiles, the
+    result itself) and are kept for that; the copy also keeps later null filters from being pushed
+    down into, and repeating, the text expressions.
+    """
+    ready = normalise_text(remove_invalid(coerce(df))).persist(StorageLevel.MEMORY_AND_DISK)
+    done = fill_gaps(ready, numeric=())  # the domain filter leaves no null numbers
     if use_iqr_capping:
-        filled = cap_outliers(filled, ["power", "kilometer", "yearOfRegistration"], statistics_from=valid)
-    return drop_copies(filled).dropna(how="any")
+        done = cap_outliers(done, ["power", "kilometer", "yearOfRegistration"], statistics_from=ready)
+    return drop_copies(done.dropna(how="any"))
 
 
 def clean_table(spark, in_path: str, out_path: str, in_format: str = "parquet", out_format: str = "parquet",
