@@ -1 +1,43 @@
-"""Queries."""
+"""Field extraction from saved pages (family C18-C20, S7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lotmill.functions import html
+from lotmill.sources.tables import read_pages
+from lotmill.workload.listings import table
+from lotmill.workload.registry import query
+
+
+@query("s7_page_fields", r"""SELECT page_id, url, trim(regexp_extract(html, '(?is)<title\b[^>]*>([^<]*)', 1)) AS title, trim(regexp_extract(html, '(?is)<h1\b[^>]*>([^<]*)', 1)) AS heading FROM pages""")
+def s7(spark, sf):
+    return read_pages(spark, f"{sf}/pages.parquet").select(
+        "page_id", "url", html.element_text("html", "title").alias("title"), html.element_text("html", "h1").alias("heading"))
+
+
+@query("c18_payload_links", "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
+def c18(spark, sf):
+    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+_BASE = "http://listings.example.com"
+
+
+@query("c19_anchor_links", rf"""SELECT page_id, CAST(min(i) AS INTEGER) AS pos, CASE WHEN starts_with(u, 'http') THEN u ELSE '{_BASE}' || u END AS link FROM (
+ SELECT page_id, unnest(l) AS u, unnest(range(len(l))) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a\b[^>]*?\bhref="([^"]*/[^"]*)"', 1) AS l FROM pages)) GROUP BY page_id, u""")
+def c19(spark, sf):
+    found = table(spark, sf, "pages").select("page_id", F.posexplode(html.anchor_links("html")).alias("pos", "href"))
+    first = found.groupBy("page_id", "href").agg(F.min("pos").alias("pos"))
+    return first.select("page_id", "pos", F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat(F.lit(_BASE), "href")).alias("link"))
+
+
+@query("c19_page_links", rf"""SELECT DISTINCT page_id, CASE WHEN starts_with(u, 'http') THEN u ELSE '{_BASE}' || u END AS link FROM (
+ SELECT page_id, unnest(regexp_extract_all(html, '<a\b[^>]*?\bhref="([^"]*/[^"]*)"', 1)) AS u FROM pages)""")
+def c19b(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.explode(html.page_links("html", _BASE, "/")).alias("link"))
+
+
+@query("c20_labelled_values", r"""SELECT page_id, trim(regexp_extract(html, '(?is)<dt[^>]*>\s*Body\ type\s*</dt>\s*<dd[^>]*>([^<]*)', 1)) AS body_type FROM pages""")
+def c20(spark, sf):
+    return table(spark, sf, "pages").select("page_id", html.labelled_value("html", "Body type").alias("body_type"))
