@@ -31,24 +31,31 @@ def count_copies(df: DataFrame, name: str = "n_copies") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
 
 
-def number_copies(df: DataFrame, name: str = "copy_no", chunk: int = COPIES_PER_TASK_ROW) -> DataFrame:
-    """Every row of ``df``, numbered 0, 1, ... among its exact copies.
+def unfold(df: DataFrame, times: str, name: str, chunk: int = COPIES_PER_TASK_ROW) -> DataFrame:
+    """Each row ``times`` times, numbered 0, 1, ... in ``name``.
 
-    Equivalent to ``row_number()`` over all columns, but copies travel as a count: groups larger
-    than ``chunk`` are cut into chunks that are spread over the cluster before they are unfolded.
+    Rows to be repeated more than ``chunk`` times are cut into chunks that are spread over the
+    cluster before they are unfolded.
     """
-    counted = count_copies(df, "_n")
-    columns = df.columns
-    small = counted.where(F.col("_n") <= chunk).select(*columns, F.lit(0).cast("long").alias("_from"), "_n")
+    columns = [c for c in df.columns if c != times]
+    step = F.lit(chunk).cast("long")
+    small = df.where((F.col(times) > 0) & (F.col(times) <= chunk)).select(*columns, F.lit(0).cast("long").alias("_from"), F.col(times).alias("_n"))
     large = (
-        counted.where(F.col("_n") > chunk)
-        .select(*columns, "_n", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_n") - 1).cast("long"), F.lit(chunk).cast("long"))).alias("_from"))
+        df.where(F.col(times) > chunk)
+        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), (F.col(times) - 1).cast("long"), step)))
         .repartition(*columns, "_from")
-        .select(*columns, "_from", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_from")).alias("_n"))
+        .select(*columns, "_from", F.least(step, F.col(times) - F.col("_from")).alias("_n"))
     )
-    spread = small.unionByName(large)
-    unfolded = F.sequence(F.col("_from"), F.col("_from") + F.col("_n") - 1)
-    return spread.select(*columns, F.explode(unfolded).alias(name))
+    numbers = F.sequence(F.col("_from"), F.col("_from") + F.col("_n") - 1)
+    return small.unionByName(large).select(*columns, F.explode(numbers).alias(name))
+
+
+def number_copies(df: DataFrame, name: str = "copy_no", chunk: int = COPIES_PER_TASK_ROW) -> DataFrame:
+    """Every row of ``df``, numbered 0, 1, ... among its exact copies.
+
+    Equivalent to ``row_number()`` over all columns, but copies travel as a count.
+    """
+    return unfold(count_copies(df, "_times"), "_times", name, chunk).select(*df.columns, name)
 
 
 def copy_flags(df: DataFrame, name: str = "is_copy") -> DataFrame:
@@ -58,12 +65,8 @@ def copy_flags(df: DataFrame, name: str = "is_copy") -> DataFrame:
 
 def copied_rows(df: DataFrame) -> DataFrame:
     """All members of groups of copies, first ones included."""
-    groups = count_copies(df, "_n").where(F.col("_n") > 1)
-    chunk = F.lit(COPIES_PER_TASK_ROW).cast("long")
-    pieces = groups.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_n") - 1).cast("long"), chunk)))
-    pieces = pieces.repartition(*df.columns, "_from")
-    size = F.least(chunk, F.col("_n") - F.col("_from"))
-    return pieces.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_i")).drop("_i")
+    groups = count_copies(df, "_times").where(F.col("_times") > 1)
+    return unfold(groups, "_times", "_i").select(*df.columns)
 
 
 def copy_share(df: DataFrame, column: str) -> DataFrame:

@@ -1 +1,105 @@
-"""Queries."""
+"""Outlier forest, classifiers, importances and scoring (families A9, L1, O3, T) and file round trips (S, K)."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from lotmill.functions.text import display_name
+from lotmill.operators import forest, selection
+from lotmill.operators.encode import feature_columns
+from lotmill.plans import score, train
+from lotmill.session import shared_dir
+from lotmill.sources import tables
+from lotmill.workload.cleaning import cleaned_listings
+from lotmill.workload.listings import KEYS, listings, with_listings
+from lotmill.workload.registry import query
+
+YEAR = 2026
+
+
+def scratch(spark, name: str) -> str:
+    """A new folder under the shared checkpoint folder; a temporary one only where none is named."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return f"{shared_dir(spark)}/lotmill-{name}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"lotmill-{name}-") + "/t"
+
+
+@query("a9_isolation_forest")
+def a9(spark, sf):
+    return forest.isolation_forest(listings(spark, sf, "price", "power", "kilometer", "yearOfRegistration"))
+
+
+@query("l1_tree_importance")
+def l1(spark, sf):
+    rows = listings(spark, sf, "power", "kilometer", "yearOfRegistration", "price")
+    rows = rows.withColumn("label", (F.col("price") >= 15000).cast("int")).drop("price")
+    return selection.importance_scores(rows, feature_columns(rows), "label", trees=10, depth=4)
+
+
+@query("o3_top_importances")
+def o3(spark, sf):
+    return l1(spark, sf).orderBy(F.desc("score"), "feature").limit(2).withColumn("shown", display_name("feature"))
+
+
+SMALL = {
+    "random_forest": train.Config(train._forest(True), {"trees": [20], "depth": [6], "min_split": [2]}, 1),
+    "extra_trees": train.Config(train._forest(False), {"trees": [20], "depth": [6], "min_split": [2]}, 1),
+    "log_reg": train.Config(train._logistic, {"C": [1.0]}, 1, scale=True),
+    "decision_tree": train.Config(train._tree, {"depth": [6], "min_split": [2], "min_leaf": [1], "criterion": ["gini"]}, 1),
+    "linear_svm": train.Config(train._svm, {"C": [1.0]}, 1, scale=True),
+    "boosted_trees": train.Config(train._boosted, {"rounds": [5], "depth": [4], "rate": [0.1], "subsample": [1.0]}, 1),
+}
+
+
+def _run(name: str):
+    def run(spark, sf):
+        prepared = train.prepare(cleaned_listings(spark, sf), YEAR)
+        result, _ = train.train_one(name, "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features, SMALL[name])
+        row = (result["model"], result["dataset"], result["val_f1"], result["test_f1"], result["severe_misclassification_rate"])
+        return spark.createDataFrame([row], "model string, dataset string, val_f1 double, test_f1 double, severe_misclassification_rate double")
+    return run
+
+
+for _number, _name in enumerate(SMALL, 2):
+    query(f"t{_number}_{_name}")(_run(_name))
+
+
+@query("t11_batch_scores")
+def t11(spark, sf):
+    """Train a shallow tree, save it with its feature stages, load it again and score every listing."""
+    rows = cleaned_listings(spark, sf)
+    prepared = train.prepare(rows, YEAR)
+    _, model = train.train_one("decision_tree", "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features, SMALL["decision_tree"])
+    path = scratch(spark, "model")
+    PipelineModel(stages=[*prepared.stages.stages, *model.stages]).write().overwrite().save(path)
+    return score.predict(rows, score.load_model(spark, path))
+
+
+@query("s1_k1_csv_round_trip", with_listings(f"""SELECT {', '.join(KEYS)}, brand, "vehicleType", price FROM listings"""))
+def s1(spark, sf):
+    path = scratch(spark, "csv")
+    tables.write_table(listings(spark, sf, *KEYS, "brand", "vehicleType", "price"), path, "csv")
+    back = tables.read_csv(spark, path)
+    return back.select(*[F.col(k).cast("int" if k == "l_linenumber" else "long").alias(k) for k in KEYS], "brand", "vehicleType", F.col("price").cast("double").alias("price"))
+
+
+@query("k5_split_export", with_listings("SELECT split, count(*) AS n FROM (SELECT CASE WHEN l_linenumber <= 1 THEN 'test' WHEN l_linenumber = 2 THEN 'val' ELSE 'train' END AS split FROM listings) GROUP BY 1"))
+def k5(spark, sf):
+    path = scratch(spark, "split")
+    split = F.when(F.col("l_linenumber") <= 1, "test").when(F.col("l_linenumber") == 2, "val").otherwise("train")
+    tables.export_split(listings(spark, sf, "l_linenumber", "price", "price_tier").withColumn("split", split), path)
+    return tables.read_table(spark, path).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("t14_importances_of_a_run")
+def t14(spark, sf):
+    prepared = train.prepare(cleaned_listings(spark, sf), YEAR)
+    numbers = prepared.part("train").select(*[F.col(f"`{c}`").cast("double").alias(c) for c in prepared.features], "label").na.fill(0.0)
+    model = train.assembled(prepared.features, SMALL["random_forest"].make({"trees": 10, "depth": 5, "min_split": 2}, 1)).fit(numbers)
+    return selection.importance_table(spark, model.stages[-1], prepared.features).orderBy(F.desc("score"), "feature")
+
+
