@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +36,13 @@ def unfold(df: DataFrame, times: str, name: str, chunk: int = COPIES_PER_TASK_RO
     """Each row ``times`` times, numbered 0, 1, ... in ``name``.
 
     Rows to be repeated more than ``chunk`` times are cut into chunks that are spread over the
-    cluster before they are unfolded.
+    cluster before they are unfolded. The counted rows are kept, as they are looked at first.
     """
     columns = [c for c in df.columns if c != times]
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if (df.agg(F.max(times)).first()[0] or 0) <= chunk:
+        numbers = F.sequence(F.lit(0).cast("long"), F.col(times) - 1)
+        return df.where(F.col(times) > 0).select(*columns, F.explode(numbers).alias(name))
     step = F.lit(chunk).cast("long")
     small = df.where((F.col(times) > 0) & (F.col(times) <= chunk)).select(*columns, F.lit(0).cast("long").alias("_from"), F.col(times).alias("_n"))
     large = (

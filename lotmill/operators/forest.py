@@ -7,11 +7,12 @@ trees (at most trees x 511 nodes) are then applied to every row in Arrow batches
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from lotmill import rules
 from lotmill.functions.numeric import known
 from lotmill.operators.order_stats import ROWS_PER_BUCKET, quantile_columns, ranked_values
 
+# tasks get the functions of this module by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SAMPLE = 256
 NODES = 511  # a binary tree of depth 8 in heap order
 

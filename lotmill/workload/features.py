@@ -81,10 +81,12 @@ def folds(spark, sf):
     return sampling.stratified_folds(labelled(spark, sf), "label").groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("m7_smote_class_sizes", "SELECT label, (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)) AS n FROM embeddings GROUP BY 1")
+@query("m7_smote_class_sizes", """WITH g AS (SELECT CASE WHEN label < 2 THEN 0 WHEN label < 5 THEN 1 ELSE 2 END AS label FROM embeddings)
+SELECT label, (SELECT max(n) FROM (SELECT count(*) AS n FROM g GROUP BY label)) AS n FROM g GROUP BY 1""")
 def m7(spark, sf):
     names = [f"e{i}" for i in range(16)]
-    rows = table(spark, sf, "embeddings").select("label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)])
+    group = F.when(F.col("label") < 2, 0).when(F.col("label") < 5, 1).otherwise(2).alias("label")
+    rows = table(spark, sf, "embeddings").select(group, *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)])
     return smote(rows, names, "label").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
