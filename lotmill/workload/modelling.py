@@ -14,13 +14,17 @@ from lotmill.operators.encode import feature_columns
 from lotmill.plans import score, train
 from lotmill.session import shared_dir
 from lotmill.sources import tables
-from lotmill.workload.cleaning import cleaned_listings
 from lotmill.workload.listings import KEYS, listings, with_listings
 from lotmill.workload.registry import query
 
 YEAR = 2026
 
 
+def complete_listings(spark, sf):
+    """Training input. In production this is the written result of ``plans.clean.clean_table``."""
+    return listings(spark, sf).dropna()
+
+
 def scratch(spark, name: str) -> str:
     """A new folder under the shared checkpoint folder; a temporary one only where none is named."""
     if spark.conf.get("spark.checkpoint.dir", None):
@@ -57,7 +61,7 @@ SMALL = {
 
 def _run(name: str):
     def run(spark, sf):
-        prepared = train.prepare(cleaned_listings(spark, sf), YEAR)
+        prepared = train.prepare(complete_listings(spark, sf), YEAR)
         result, _ = train.train_one(name, "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features, SMALL[name])
         row = (result["model"], result["dataset"], result["val_f1"], result["test_f1"], result["severe_misclassification_rate"])
         return spark.createDataFrame([row], "model string, dataset string, val_f1 double, test_f1 double, severe_misclassification_rate double")
@@ -71,7 +75,7 @@ for _number, _name in enumerate(SMALL, 2):
 @query("t11_batch_scores")
 def t11(spark, sf):
     """Train a shallow tree, save it with its feature stages, load it again and score every listing."""
-    rows = cleaned_listings(spark, sf)
+    rows = complete_listings(spark, sf)
     prepared = train.prepare(rows, YEAR)
     _, model = train.train_one("decision_tree", "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features, SMALL["decision_tree"])
     path = scratch(spark, "model")
@@ -97,7 +101,7 @@ def k5(spark, sf):
 
 @query("t14_importances_of_a_run")
 def t14(spark, sf):
-    prepared = train.prepare(cleaned_listings(spark, sf), YEAR)
+    prepared = train.prepare(complete_listings(spark, sf), YEAR)
     numbers = prepared.part("train").select(*[F.col(f"`{c}`").cast("double").alias(c) for c in prepared.features], "label").na.fill(0.0)
     model = train.assembled(prepared.features, SMALL["random_forest"].make({"trees": 10, "depth": 5, "min_split": 2}, 1)).fit(numbers)
     return selection.importance_table(spark, model.stages[-1], prepared.features).orderBy(F.desc("score"), "feature")
