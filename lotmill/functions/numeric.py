@@ -95,6 +95,13 @@ def minmax(c: Column, lo: Column, hi: Column, flat: float | None = None) -> Colu
     return F.when(hi > lo, (c - lo) / (hi - lo)).otherwise(F.lit(flat).cast("double"))
 
 
+def pearson(x: Column | str, y: Column | str) -> Column:
+    """Correlation aggregate over pairs; null for a constant side, where ``corr`` divides by zero in ANSI mode."""
+    x, y = _col(x).cast("double"), _col(y).cast("double")
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(both_x, both_y), F.stddev_pop(both_x) * F.stddev_pop(both_y))
+
+
 def normal_cdf(z: Column) -> Column:
     """Standard normal distribution function in double precision.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotmill import rules
 from lotmill.operators.fixed import Fixed
-from lotmill.functions.numeric import known, minmax
+from lotmill.functions.numeric import known, minmax, pearson
 from lotmill.operators.lookups import attach
 from lotmill.operators.order_stats import (
     QUARTILES, ROWS_PER_BUCKET, quantile_columns, quantile_row, quantiles, ranked_values,
@@ -172,7 +172,7 @@ def density_2d(df: DataFrame, x: str, y: str, points: int = 30, cut: float = 3.0
 
 def linear_fit(df: DataFrame, x: str | Column, y: str | Column) -> DataFrame:
     x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
-    return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.corr(x, y).alias("r"))
+    return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), pearson(x, y).alias("r"))
 
 
 def normalise(df: DataFrame, columns: Sequence[str]) -> DataFrame:

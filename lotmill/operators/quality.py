@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotmill import rules
 from lotmill.operators.fixed import Fixed
-from lotmill.functions.numeric import known, normal_cdf
+from lotmill.functions.numeric import known, normal_cdf, pearson
 from lotmill.operators.lookups import attach
 from lotmill.operators.order_stats import (
     ROWS_PER_BUCKET, QUARTILES, average_ranks, quantile_columns, ranked_values,
@@ -206,7 +206,7 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str] = rules.NUMERIC_COLUMNS
     """(col_a, col_b, r) over rows complete in all columns; one aggregation, symmetric pairs shared."""
     complete = df.select(*[known(c).alias(c) for c in columns]).dropna()
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = complete.agg(*[F.corr(a, b).alias(f"{a}\t{b}") for a, b in pairs])
+    row = complete.agg(*[pearson(a, b).alias(f"{a}\t{b}") for a, b in pairs])
     return _pair_rows(row, pairs)
 
 

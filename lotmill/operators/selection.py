@@ -11,7 +11,7 @@ from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.functions.numeric import known
+from lotmill.functions.numeric import known, pearson
 from lotmill.operators.order_stats import quantiles
 from lotmill.operators.quality import _rows
 
@@ -28,7 +28,7 @@ def variance_scores(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def correlation_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """|Pearson r| with the label, missing values as 0; constant columns score 0."""
-    cells = {c: [F.abs(F.corr(_filled(c), F.col(label).cast("double")))] for c in features}
+    cells = {c: [F.abs(pearson(_filled(c), label))] for c in features}
     scored = _rows(df, cells, ["score"]).withColumnRenamed("column", "feature")
     return scored.withColumn("score", F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)))
 

@@ -128,6 +128,8 @@ def test_feature_selection(spark):
     assert set(selection.FeatureSelector("k_best", k=2).fit(df, names).selected) == {"f1", "f2"}
     assert set(selection.FeatureSelector("mutual_info", k=2).fit(df, names).selected) == {"f1", "f2"}
     assert "constant" not in selection.FeatureSelector("correlation").fit(df, names).selected
+    flat = quality.pearson_matrix(df.select("f1", "constant"), ["f1", "constant"]).where("col_b = 'constant'").collect()
+    assert [r["r"] for r in flat] == [None, None]
     with pytest.raises(ValueError):
         selection.FeatureSelector("nope").fit(df, names)
 
