@@ -53,7 +53,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     """Parquet by default; CSV gets a header and no index column."""
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
+        # the writer would otherwise trim values, which turns ' N/A ' into a missing token
         writer = writer.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
