@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotmill.llm import decontaminate, language_id, mixing, pseudonyms, shingle_join
+from lotmill.llm import decontaminate, language_id, mixing, neighbours, passages, pseudonyms, quality, shingle_join, token_counts, toxicity
 from lotmill.llm.common import fold, table
 
 QUERIES = {}
@@ -45,3 +45,37 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = language_id.learn(docs.where(~held_out))
     found = language_id.identify(docs, samples)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
+
+
+def _judged(spark: SparkSession, sf_dir: str, operator, limit: float) -> DataFrame:
+    """Scores of all documents by a model that never saw the labels of the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 5) == 0
+    model = operator.train(docs.where(~held_out), labels.where(~held_out))
+    found = operator.scores(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"))
+
+
+@query
+def op3_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, quality, 0.3)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, toxicity, 0.5)
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.read_vocabulary())
+
+
+@query
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))

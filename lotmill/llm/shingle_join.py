@@ -211,6 +211,33 @@ def _long_list_pairs(lists: DataFrame, facts: DataFrame, percent: int) -> DataFr
     return members.unionByName(probes).groupBy("key", "block", "turn").applyInPandas(compare, "a long, b long").distinct()
 
 
+def linked_by_lists(lists: DataFrame, facts: DataFrame, docs: DataFrame, k: int, percent: int, more: DataFrame | None = None, boundary: int = 0) -> DataFrame:
+    """Components (id, component) of all linked pairs that share a list of ``lists(key, id, n, m, lead)``.
+
+    ``m`` is the length of the list and ``lead`` its smallest id; ``facts(id, n, bits)`` and ``docs(id, text)`` describe
+    the members. ``more`` holds links (a, b) known beforehand; pairs of sets up to ``boundary`` are left to them.
+    """
+    pairs = lists.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    links = _verified(written(_near(pairs, facts, percent), "stars"), docs, k, percent)
+    links = written(links.unionByName(more) if more is not None else links, "links")
+    labels = components(links)
+
+    labelled = lists.join(labels.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("top"))
+    mixed = mixed.where("main <> top").select("key", "main")
+    labelled = labelled.join(mixed, "key")
+    odd = labelled.where("label <> main").groupBy("key").agg(F.count(F.lit(1)).alias("odd"))
+    labelled = written(labelled.join(odd, "key"), "mixed")
+    short = labelled.where(f"m <= {SHORT_LIST}").select("key", "id", "n", "label")
+    other = short.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
+    close = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
+    pairs = short.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("label") != F.col("label_b")) & close)
+    pairs = pairs.where(f"greatest(n, nb) > {boundary}").select(F.col("id").alias("a"), "b").distinct()
+    rest = _near(pairs, facts, percent).unionByName(_long_list_pairs(labelled.where(f"m > {SHORT_LIST}"), facts, percent)).distinct()
+    rest = written(_verified(written(rest, "rest"), docs, k, percent), "rest_links")
+    return labels if rest.isEmpty() else components(links.unionByName(rest))
+
+
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (id, n_shingles, component_id) per row of ``docs``; columns ``id_col``, ``n_shingles``, ``component_id``.
 
@@ -232,28 +259,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     boundary = _boundary(reps, lists, percent)
 
     chosen = written(chosen.select("id", "n", "small", "bits").join(lists.select("id").distinct().unionByName(reps.where(f"n <= {MAX_BOUNDARY}").select(F.col("rep").alias("id"))).distinct(), "id", "left_semi"), "chosen")
-    pairs = lists.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(written(_near(pairs, chosen, percent), "stars"), docs, k, percent)
-    links = written(links.unionByName(_subset_links(chosen.where(f"n <= {boundary}"), boundary, percent)), "links")
-    labels = components(links)
-
-    labelled = lists.join(labels.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("top"))
-    mixed = mixed.where("main <> top").select("key", "main")
-    labelled = labelled.join(mixed, "key")
-    odd = labelled.where("label <> main").groupBy("key").agg(F.count(F.lit(1)).alias("odd"))
-    labelled = written(labelled.join(odd, "key"), "mixed")
-    short = labelled.where(f"m <= {SHORT_LIST}").select("key", "id", "n", "label")
-    other = short.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
-    close = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
-    pairs = short.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("label") != F.col("label_b")) & close)
-    pairs = pairs.where(f"greatest(n, nb) > {boundary}").select(F.col("id").alias("a"), "b").distinct()
-    rest = _near(pairs, chosen, percent).unionByName(_long_list_pairs(labelled.where(f"m > {SHORT_LIST}"), chosen, percent)).distinct()
-    rest = _verified(written(rest, "rest"), docs, k, percent)
-    if rest.isEmpty():
-        found = labels
-    else:
-        found = components(links.unionByName(rest))
+    more = _subset_links(chosen.where(f"n <= {boundary}"), boundary, percent)
+    found = linked_by_lists(lists, chosen.select("id", "n", "bits"), docs, k, percent, more, boundary)
     named = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("low", "high", F.coalesce("component", "rep").alias("component"))
     out = facts.select("id", "n", "low", "high").join(named, ["low", "high"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
