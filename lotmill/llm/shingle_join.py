@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import components, written
+from lotmill.llm.common import components, small, without_ids, written
 from lotmill.llm.words import shingle_sets
 
 BUCKETS = 1 << 20  # entries of the count table, whatever the input
@@ -243,22 +243,26 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     Words are runs of other characters than blanks, A-Z lowered; a text of fewer than ``k`` words is one
     shingle; null and empty texts have none, are linked with nothing and are their own component. Rows
-    with a null id are left out. Rows that repeat an id and text are one set; they come back once per row.
-    Further columns are ignored. Shingles are told apart by 64-bit hashes.
+    with a null id are left out. Rows that repeat an id and text are one set; they come back once per row. An id
+    with several texts may stand for any of them in a comparison. Further columns are ignored. Shingles are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
     levels = spark.sparkContext.broadcast(_levels(docs, k))
     facts = written(_features(docs, k, percent, levels), "facts")
     reps = written(facts.where("n > 0").groupBy("low", "high").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
-    chosen = facts.join(reps.select("low", "high", F.col("rep").alias("id")), ["low", "high", "id"], "left_semi").dropDuplicates(["id"])
+    copies = facts.select("id", "low", "high").join(reps, ["low", "high"]).where("id <> rep").select("id")
+    chosen = without_ids(facts.where("n > 0"), "id", copies)  # wide rows stay where they are while the copies are few
 
-    entries = chosen.select("id", "n", F.explode("prefix").alias("key"))
-    heads = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead")).where("m > 1")
+    # narrow rows, dealt out by shingle once; counting and joining back need no further exchange
+    entries = chosen.select("id", F.explode("prefix").alias("key")).repartition("key")
+    heads = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").drop("last")
     lists = written(entries.join(heads, "key"), "lists")
+    small_sets = reps.where(f"n <= {MAX_BOUNDARY}").select(F.col("rep").alias("id"))
+    wanted = small(written(lists.select("id").union(small_sets).distinct(), "listed"))
+    chosen = written(chosen.select("id", "n", "small", "bits").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "chosen")
+    lists = written(lists.join(small(chosen.select("id", "n")), "id"), "sized")
     boundary = _boundary(reps, lists, percent)
-
-    chosen = written(chosen.select("id", "n", "small", "bits").join(lists.select("id").distinct().unionByName(reps.where(f"n <= {MAX_BOUNDARY}").select(F.col("rep").alias("id"))).distinct(), "id", "left_semi"), "chosen")
     more = _subset_links(chosen.where(f"n <= {boundary}"), boundary, percent)
     found = linked_by_lists(lists, chosen.select("id", "n", "bits"), docs, k, percent, more, boundary)
     named = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("low", "high", F.coalesce("component", "rep").alias("component"))
