@@ -36,8 +36,8 @@ def word_list(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     half = LEXICON_SAMPLE // 2
     ranked = [chosen.where(f"toxic = {c}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(half) for c in (0, 1)]
-    sample = F.broadcast(ranked[0].unionByName(ranked[1]).withColumnRenamed("doc_id", "_id"))
-    rows = docs.join(sample, F.col(id_col) == F.col("_id")).select("toxic", F.array_distinct(words(F.col(text_col))).alias("w"))
+    sample = F.broadcast(ranked[0].unionByName(ranked[1]).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic")))
+    rows = docs.join(sample, F.col(id_col) == F.col("_id")).select(F.col("_toxic").alias("toxic"), F.array_distinct(words(F.col(text_col))).alias("w"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return []

@@ -74,9 +74,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from at most SAMPLE labelled texts, in the order of a seeded hash of the id. Null labels are left out."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
     n, good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("quality"), F.lit(0))).first()
-    ids = [sample_ids(known.where(f"quality = {c}"), "doc_id", SAMPLE // 2, seed).select("_id", F.lit(c).alias("label")) for c in (0, 1)]
+    ids = [sample_ids(known.where(f"quality = {c}"), "doc_id", SAMPLE // 2, seed).select("_id", F.lit(c).alias("_label")) for c in (0, 1)]
     rows = docs.join(F.broadcast(ids[0].unionByName(ids[1])), F.col(id_col) == F.col("_id"))
-    rows = rows.select("label", F.col(text_col).cast("string").alias("text")).mapInArrow(_terms, "label int, terms array<int>, weights array<float>").collect()
+    rows = rows.select(F.col("_label").alias("label"), F.col(text_col).cast("string").alias("text")).mapInArrow(_terms, "label int, terms array<int>, weights array<float>").collect()
     prior = (good + 1) / (n + 2)
     if not rows:
         return {"projection": np.zeros((1 << BITS, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": np.zeros(0), "prior": prior}

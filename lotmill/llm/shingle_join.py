@@ -142,7 +142,7 @@ def _subset_links(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
                     left = n - needed(n, b, percent)
                     if left < 0 or needed(n, b, percent) > b:
                         continue
-                    drop = np.array(list(combinations(range(n), left)), np.int64).reshape(-1, left)
+                    drop = np.array(list(combinations(range(n), left)), np.int64).reshape(comb(n, left), left)
                     for key in (total - hashes[drop].sum(axis=1, dtype=np.uint64)).view(np.int64).tolist():
                         out.append((min(n, b), max(n, b), key, n, i))
             yield pd.DataFrame(out, columns=["a", "b", "key", "n", "id"])

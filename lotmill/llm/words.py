@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21  # bytes hashed at once; texts and words may be longer
+CHUNK = 1 << 20  # bytes hashed at once; texts and words may be longer
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -91,7 +91,7 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndar
         return words, rows
     h = mix(words)
     run = np.ones(n, np.int64)
-    for i in range(1, k):
+    for i in range(1, min(k, n)):
         h[:n - i] = np.where(rows[i:] == rows[:n - i], mix(h[:n - i] * _U(3) + words[i:]), h[:n - i])
         run[:n - i] += rows[i:] == rows[:n - i]
     begins = np.r_[True, rows[1:] != rows[:-1]]
@@ -99,7 +99,7 @@ def shingle_hashes(words: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndar
     return h[keep], rows[keep]
 
 
-def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
     """The array in runs of about ``most`` bytes, so that the memory used follows neither rows nor batch size."""
     _, offsets = bytes_of(texts)
     at = 0
