@@ -59,16 +59,14 @@ def fit_trees(df: DataFrame, columns: Sequence[str], rows: int, trees: int = 100
     """One bounded random sample per tree; trees are grown in parallel."""
     take = min(SAMPLE, rows)
     limit = max(1, math.ceil(math.log2(max(take, 2))))
-    if rows <= 4 * trees * SAMPLE:  # small table: every tree may draw from all rows
-        drawn = df.select(*columns, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    else:  # large table: disjoint draws, a few times more rows than needed
-        share = min(1.0, 4.0 * trees * SAMPLE / rows)
-        drawn = df.select(*columns).where(F.rand(seed) < share).withColumn("tree", F.floor(F.rand(seed + 1) * trees).cast("int"))
-    drawn = drawn.withColumn("u", F.rand(seed + 2))
+    # contents decide, by one rule at every size: which trees a row may enter, and its place in their samples
+    share = min(1.0, 4.0 * SAMPLE / max(rows, 1))
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(*columns, t, F.lit(seed)), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
+    drawn = df.select(*columns, F.explode(mine).alias("tree")).withColumn("u", F.xxhash64(*columns, "tree", F.lit(seed + 1)))
     width = len(columns)
 
-    def grow(key, rows_of_tree: pd.DataFrame) -> pd.DataFrame:
-        chosen = rows_of_tree.sort_values("u").head(take)[list(columns)].to_numpy(dtype=float)
+    def grow(key: tuple, rows_of_tree: pd.DataFrame) -> pd.DataFrame:
+        chosen = rows_of_tree.sort_values(["u", *columns]).head(take)[list(columns)].to_numpy(dtype=float)
         rng = np.random.default_rng([seed, int(key[0])])
         feature, threshold, length = _grow(chosen.reshape(-1, width), rng, limit)
         return pd.DataFrame({"tree": [int(key[0])], "feature": [feature.tolist()], "threshold": [threshold.tolist()], "length": [length.tolist()]})

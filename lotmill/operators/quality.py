@@ -36,9 +36,14 @@ def schema_check(df: DataFrame, expected: Mapping[str, str] = rules.EXPECTED_TYP
     return df.sparkSession.createDataFrame(rows, "kind string, column string, expected string, actual string, fails boolean")
 
 
+def _there(df: DataFrame, c: str):
+    """The value of a column, null where it is missing: null or, in floating columns, NaN."""
+    return known(f"`{c}`") if df.schema[c].dataType.typeName() in ("float", "double") else F.col(f"`{c}`")
+
+
 def completeness(df: DataFrame, required: Sequence[str] = rules.REQUIRED_COLUMNS, limit: float = 0.05) -> DataFrame:
     """Null count and percentage per column; a required column fails above ``limit``."""
-    cells = {c: [F.count(F.lit(1)), F.count_if(F.col(c).isNull())] for c in df.columns}
+    cells = {c: [F.count(F.lit(1)), F.count_if(_there(df, c).isNull())] for c in df.columns}
     counted = _rows(df, cells, ["rows", "missing_count"])
     share = F.coalesce(F.try_divide(F.col("missing_count").cast("double"), F.col("rows")), F.lit(0.0))
     return counted.select(
@@ -49,7 +54,7 @@ def completeness(df: DataFrame, required: Sequence[str] = rules.REQUIRED_COLUMNS
 
 def completeness_score(df: DataFrame) -> DataFrame:
     """Non-null cells as a percentage of all cells (0 for an empty table)."""
-    filled = sum((F.count(F.col(c)) for c in df.columns), F.lit(0))
+    filled = sum((F.count(_there(df, c)) for c in df.columns), F.lit(0))
     cells = F.count(F.lit(1)) * len(df.columns)
     return df.agg(F.round(F.coalesce(F.try_divide(filled * 100.0, cells), F.lit(0.0)), 2).alias("completeness_score_pct"))
 
@@ -66,7 +71,7 @@ def range_checks(df: DataFrame, bounds: Mapping[str, tuple[float, float]] = rule
     cells = {}
     for c in _present(df, list(bounds)):
         lo, hi = bounds[c]
-        cells[c] = [F.count(F.col(c)), F.count_if(known(c) < lo), F.count_if(known(c) > hi)]
+        cells[c] = [F.count(_there(df, c)), F.count_if(known(c) < lo), F.count_if(known(c) > hi)]
     counted = _rows(df, cells, ["values", "below_min", "above_max"])
     good = (F.col("values") - F.col("below_min") - F.col("above_max")) * 100.0
     return counted.withColumn(
@@ -95,7 +100,7 @@ def rule_violations(df: DataFrame, schema: Mapping[str, Mapping] = rules.CLEANIN
         if c not in df.columns:
             continue
         if not rule.get("nullable", True):
-            tests[f"{c}\tnulls"] = F.count_if(F.col(c).isNull())
+            tests[f"{c}\tnulls"] = F.count_if(_there(df, c).isNull())
         if "min" in rule:
             tests[f"{c}\tmin"] = F.count_if(F.col(c) < rule["min"])
         if "max" in rule:

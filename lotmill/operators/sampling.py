@@ -40,8 +40,8 @@ def in_random_order(df: DataFrame, seed: int = 42, unique_key: Sequence[str] | N
 
 
 def class_sizes(df: DataFrame, label: str) -> dict:
-    """Rows per class; refuses columns that are no class labels."""
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    """Rows per class; refuses columns that are no class labels. Rows without a label belong to no class."""
+    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes")
     return {r[label]: r["n"] for r in sorted(rows, key=lambda r: (r[label] is None, r[label]))}
@@ -81,7 +81,11 @@ def proportional(sizes: dict, total: int) -> dict:
 
 def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, val_size: float = 0.25, seed: int = 42,
                      unique_key: Sequence[str] | None = None) -> DataFrame:
-    """Adds ``split``: test = ceil(test_size N), val = ceil(val_size of the rest), train = remainder."""
+    """Adds ``split``: test = ceil(test_size N), val = ceil(val_size of the rest), train = remainder.
+
+    Rows with a null label are left out, as they are by every operator here that goes by class.
+    """
+    df = df.where(F.col(label).isNotNull())
     sizes = class_sizes(df, label)
     total = sum(sizes.values())
     test = proportional(sizes, math.ceil(test_size * total))
@@ -97,6 +101,7 @@ def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, val_size
 
 def undersample(df: DataFrame, label: str, seed: int = 42, unique_key: Sequence[str] | None = None) -> DataFrame:
     """Every class cut to the size of the smallest one."""
+    df = df.where(F.col(label).isNotNull())
     sizes = class_sizes(df, label)
     smallest = min(sizes.values(), default=0)
     ordered = in_random_order(df, seed, unique_key)
@@ -118,12 +123,13 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, unique_key: Sequence[str]
 def class_ranks(df: DataFrame, label: str, seed: int = 42, unique_key: Sequence[str] | None = None,
                 name: str = "class_rank") -> DataFrame:
     """1-based position of every row within its class in hash order."""
+    df = df.where(F.col(label).isNotNull())
     ordered = in_random_order(df, seed, unique_key).withColumn("_p", F.substring("_h", 1, PREFIX))
     cells = ordered.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.partitionBy(label).orderBy("_p")) - F.col("_n")
     offsets = cells.select(label, "_p", before.alias("_before"))
     local = F.row_number().over(W.partitionBy(label, "_p").orderBy("_h"))
-    joined = attach(ordered.dropna(subset=[label]), offsets, [label, "_p"])
+    joined = attach(ordered, offsets, [label, "_p"])
     return joined.withColumn(name, local + F.col("_before")).select(*df.columns, name)
 
 

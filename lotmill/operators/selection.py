@@ -16,13 +16,18 @@ from lotmill.operators.order_stats import quantiles
 from lotmill.operators.quality import _rows
 
 
+def _number(c: str):
+    """A feature as a number; text that is none counts as missing."""
+    return known(F.col(f"`{c}`").try_cast("double"))
+
+
 def _filled(c: str):
-    return F.coalesce(known(f"`{c}`"), F.lit(0.0))
+    return F.coalesce(_number(c), F.lit(0.0))
 
 
 def variance_scores(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Sample variance as the score, population variance for the threshold."""
-    cells = {c: [F.var_samp(known(f"`{c}`")), F.var_pop(known(f"`{c}`"))] for c in features}
+    cells = {c: [F.var_samp(_number(c)), F.var_pop(_number(c))] for c in features}
     return _rows(df, cells, ["score", "population_variance"]).withColumnRenamed("column", "feature")
 
 

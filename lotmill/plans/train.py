@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,8 +125,11 @@ def majority_class(df: DataFrame, label: str = "label") -> float:
 
 
 def assembled(features: Sequence[str], estimator, scale: bool = False) -> Pipeline:
+    """Fill with 0, assemble, scale and fit; the fill is a stage, so a saved model scores nulls as it was tested."""
     raw = "raw_features" if scale else "features"
-    stages = [VectorAssembler(inputCols=list(features), outputCol=raw, handleInvalid="keep")]
+    filled = ", ".join(f"nanvl(coalesce(cast(`{c}` AS double), 0D), 0D) AS `_filled_{i}`" for i, c in enumerate(features))
+    stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+              VectorAssembler(inputCols=[f"_filled_{i}" for i in range(len(features))], outputCol=raw, handleInvalid="keep")]
     if scale:
         stages.append(StandardScaler(inputCol=raw, outputCol="features", withMean=True, withStd=True))
     return Pipeline(stages=[*stages, estimator])
@@ -146,7 +149,7 @@ def train_one(name: str, dataset: str, train: DataFrame, val: DataFrame, test: D
         fixed = lambda part: scores(part.select("label", F.lit(label).alias("prediction")))
         return _result(name, dataset, {}, fixed(val)["macro_f1"], fixed(test)), None
     numbers = lambda part: part.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], "label")
-    train, val, test = (numbers(part).na.fill(0.0).persist(StorageLevel.MEMORY_AND_DISK) for part in (train, val, test))
+    train, val, test = (numbers(part).persist(StorageLevel.MEMORY_AND_DISK) for part in (train, val, test))
     rows = train.count()
 
     def attempt(params):

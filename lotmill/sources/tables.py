@@ -18,16 +18,18 @@ def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8",
-             null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS) -> DataFrame:
+             null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS, multi_line: bool = False) -> DataFrame:
     """CSV with a header, every column as text, 'missing' tokens as null.
 
     Types are not inferred (that would be another pass over the data); numeric coercion is a
-    projection of the cleaning step. ``columns`` skips the header peek.
+    projection of the cleaning step. ``columns`` skips the header peek. A file whose header differs is an
+    error, as its values would land under other names. ``multi_line`` reads values with line breaks; a file is
+    then not split over tasks.
     """
     names = list(columns) if columns else csv_header(spark, path, encoding)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
-    reader = reader.option("quote", '"').option("escape", '"').option("enforceSchema", columns is None)
+    reader = reader.option("quote", '"').option("escape", '"').option("enforceSchema", False).option("multiLine", multi_line)
     df = reader.csv(path)
     tokens = list(null_tokens)
     return df.select(*[F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c) for c in df.columns])

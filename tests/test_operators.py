@@ -165,3 +165,29 @@ def test_smote_balances_inside_the_class_range(spark):
     out = smote(spark.createDataFrame(rows, "a double, b double, label int"), ["a", "b"], "label", k=2).toPandas()
     assert out["label"].value_counts().to_dict() == {0: 12, 1: 12}
     assert out[out["label"] == 1]["a"].between(100, 103).all()
+
+
+def test_rows_without_a_label_belong_to_no_class(spark):
+    from lotmill.operators import sampling
+
+    df = spark.createDataFrame([(i, "a") for i in range(20)] + [(i, "b") for i in range(30)] + [(i, None) for i in range(3)], "x int, y string")
+    assert {r["y"]: r["count"] for r in sampling.undersample(df, "y").groupBy("y").count().collect()} == {"a": 20, "b": 20}
+    assert sampling.stratified_split(df, "y").count() == sampling.class_ranks(df, "y").count() == 50
+
+
+def test_nan_is_missing_and_text_features_score_zero(spark):
+    from lotmill.operators import quality, selection
+
+    df = spark.createDataFrame([(float("nan"), "x", 0), (1.0, "y", 1), (600.0, "z", 1), (None, None, 0)], "power double, t string, label int")
+    assert {r["column"]: r["missing_count"] for r in quality.completeness(df).collect()}["power"] == 2
+    assert quality.completeness_score(df.select("power")).first()[0] == 50.0
+    assert quality.range_checks(df, {"power": (0, 500)}).first()["values"] == 2
+    assert {r["feature"]: r["score"] for r in selection.correlation_scores(df, ["power", "t"], "label").collect()}["t"] == 0.0
+
+
+def test_isolation_trees_do_not_depend_on_partitions(spark):
+    from lotmill.operators import forest
+
+    df = spark.createDataFrame([(float(i % 97), float(i % 31)) for i in range(3000)], "a double, b double")
+    one, two = (forest.fit_trees(df.repartition(n), ["a", "b"], 3000, trees=5) for n in (2, 4))
+    assert [r["threshold"] for r in one] == [r["threshold"] for r in two]

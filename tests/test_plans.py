@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lotmill.plans import clean, merge
+from lotmill.plans import clean, merge, train
 from lotmill.plans.validate import Validator
 from lotmill.sources import tables
 
@@ -58,3 +58,17 @@ def test_table_reader_checks(spark, tmp_path):
         tables.read_table(spark, str(tmp_path / "t"), required=["model"])
     (tmp_path / "m.json").write_text('{"vw": "volkswagen"}')
     assert tables.read_lookup(spark, str(tmp_path / "m.json")).first().asDict() == {"key": "vw", "value": "volkswagen"}
+
+
+def test_saved_model_fills_nulls_as_in_training(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    rows = [(float(i % 5) if i % 3 else None, float(i), float(i % 3 == 0)) for i in range(90)]
+    df = spark.createDataFrame(rows, "a double, b double, label double")
+    model = train.assembled(["a", "b"], DecisionTreeClassifier(maxDepth=3)).fit(df)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(df)
+    assert again.where("a IS NULL AND prediction <> 1").count() == 0
+    nothing = spark.createDataFrame([(None, float("nan"))], "a double, b double")
+    assert again.count() == 90 and model.transform(nothing).count() == 1
