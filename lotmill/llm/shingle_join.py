@@ -35,6 +35,7 @@ BUCKETS = 1 << 20  # entries of the count table, whatever the input
 PIECE = 1 << 14  # entries of it per row while it is added up
 MAX_BOUNDARY = 20  # largest size considered for enumeration (C(20, 3) subsets)
 BLOCK = 1024  # members or probes of a long list in one task at once
+STAR_TURNS = 3  # rounds of stars around other leaders before long lists are compared block against block
 SHORT_LIST = 64  # lists up to this length are compared by a plain join
 
 _FEATURES = "id long, n long, low long, high long, prefix array<long>, small array<long>, bits binary"
@@ -185,7 +186,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
 
 
 def _long_list_pairs(lists: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components inside long lists that sizes and bitmaps allow, block against block."""
+    """Pairs of different components inside long lists that sizes and bitmaps allow, block against block.
+
+    A pair is given by the smallest of the long lists that it shares, and so once.
+    """
 
     def compare(table: pd.DataFrame) -> pd.DataFrame:
         probes, members = table[table["probe"]], table[~table["probe"]]
@@ -193,24 +197,36 @@ def _long_list_pairs(lists: DataFrame, facts: DataFrame, percent: int) -> DataFr
         if len(probes) and len(members):
             width = min(len(x) for x in table["bits"])
             packed = np.stack([_folded(np.frombuffer(x, np.uint8), width) for x in members["bits"]])
-            ids, sizes, labels = (members[c].to_numpy() for c in ("id", "n", "label"))
-            for i, n, label, bits in zip(probes["id"], probes["n"], probes["label"], probes["bits"], strict=True):
+            ids, sizes, labels, keys = (members[c].to_numpy() for c in ("id", "n", "label", "keys"))
+            here = table["key"].iloc[0]
+            for i, n, label, bits, mine in zip(probes["id"], probes["n"], probes["label"], probes["bits"], probes["keys"], strict=True):
                 ok = (labels != label) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
                 if ok.any():
                     at = np.flatnonzero(ok)
                     gap = np.bitwise_count(packed[at] ^ _folded(np.frombuffer(bits, np.uint8), width)).sum(axis=1)
-                    out += [(min(i, j), max(i, j)) for j in ids[at[gap * (100 + percent) <= (sizes[at] + n) * (100 - percent)]]]
+                    near = at[gap * (100 + percent) <= (sizes[at] + n) * (100 - percent)]
+                    out += [(min(i, ids[j]), max(i, ids[j])) for j in near if np.intersect1d(mine, keys[j])[0] == here]
         return pd.DataFrame(out, columns=["a", "b"])
 
     salt = lambda blocks: F.pmod(F.xxhash64("id"), F.greatest(F.ceil(blocks / BLOCK), F.lit(1)))
     all_of = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(blocks / BLOCK), F.lit(1)) - 1))
-    rows = lists.join(facts.select("id", "bits"), "id")
-    columns = ["key", "id", "n", "label", "bits"]
+    shared = lists.groupBy("id").agg(F.collect_list("key").alias("keys"))  # no more than the set's prefix
+    rows = lists.join(facts.select("id", "bits"), "id").join(shared, "id")
+    columns = ["key", "id", "n", "label", "bits", "keys"]
     members = rows.select(*columns, salt(F.col("m")).alias("block"), all_of(F.col("odd")).alias("turn"), F.lit(False).alias("probe"))
     probes = rows.where("label <> main").select(*columns, all_of(F.col("m")).alias("block"), salt(F.col("odd")).alias("turn"), F.lit(True).alias("probe"))
     return members.unionByName(probes).groupBy("key", "block", "turn").applyInPandas(compare, "a long, b long").distinct()
 
 
+def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several components: with ``label``, the list's smallest (``main``) and the number of others."""
+    labelled = lists.join(labels.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("top"))
+    labelled = labelled.join(mixed.where("main <> top").select("key", "main"), "key")
+    odd = labelled.where("label <> main").groupBy("key").agg(F.count(F.lit(1)).alias("odd"))
+    return written(labelled.join(odd, "key"), "mixed")
+
+
 def linked_by_lists(lists: DataFrame, facts: DataFrame, docs: DataFrame, k: int, percent: int, more: DataFrame | None = None, boundary: int = 0) -> DataFrame:
     """Components (id, component) of all linked pairs that share a list of ``lists(key, id, n, m, lead)``.
 
@@ -222,12 +238,16 @@ def linked_by_lists(lists: DataFrame, facts: DataFrame, docs: DataFrame, k: int,
     links = written(links.unionByName(more) if more is not None else links, "links")
     labels = components(links)
 
-    labelled = lists.join(labels.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("main"), F.max("label").alias("top"))
-    mixed = mixed.where("main <> top").select("key", "main")
-    labelled = labelled.join(mixed, "key")
-    odd = labelled.where("label <> main").groupBy("key").agg(F.count(F.lit(1)).alias("odd"))
-    labelled = written(labelled.join(odd, "key"), "mixed")
+    labelled = _mixed(lists, labels)
+    for turn in range(STAR_TURNS):  # other leaders, one per list, for long lists that still hold several components
+        long = labelled.where(f"m > {SHORT_LIST}")
+        if long.isEmpty():
+            break
+        other = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("h"), "id", "label")).alias("o"))
+        pairs = long.join(other, "key").where("label <> o.label").select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
+        links = written(links.unionByName(_verified(written(_near(pairs, facts, percent), "stars"), docs, k, percent)), "links")
+        labels = components(links)
+        labelled = _mixed(lists, labels)
     short = labelled.where(f"m <= {SHORT_LIST}").select("key", "id", "n", "label")
     other = short.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
     close = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
