@@ -65,11 +65,12 @@ def fit_trees(df: DataFrame, columns: Sequence[str], rows: int, trees: int = 100
     drawn = df.select(*columns, F.explode(mine).alias("tree")).withColumn("u", F.xxhash64(*columns, "tree", F.lit(seed + 1)))
     width = len(columns)
 
-    def grow(key: tuple, rows_of_tree: pd.DataFrame) -> pd.DataFrame:
+    def grow(rows_of_tree: pd.DataFrame) -> pd.DataFrame:
+        tree = int(rows_of_tree["tree"].iloc[0])
         chosen = rows_of_tree.sort_values(["u", *columns]).head(take)[list(columns)].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, int(key[0])])
+        rng = np.random.default_rng([seed, tree])
         feature, threshold, length = _grow(chosen.reshape(-1, width), rng, limit)
-        return pd.DataFrame({"tree": [int(key[0])], "feature": [feature.tolist()], "threshold": [threshold.tolist()], "length": [length.tolist()]})
+        return pd.DataFrame({"tree": [tree], "feature": [feature.tolist()], "threshold": [threshold.tolist()], "length": [length.tolist()]})
 
     grown = drawn.groupBy("tree").applyInPandas(grow, "tree int, feature array<int>, threshold array<double>, length array<double>")
     return sorted(grown.collect(), key=lambda r: r["tree"])

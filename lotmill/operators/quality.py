@@ -36,6 +36,16 @@ def schema_check(df: DataFrame, expected: Mapping[str, str] = rules.EXPECTED_TYP
     return df.sparkSession.createDataFrame(rows, "kind string, column string, expected string, actual string, fails boolean")
 
 
+def schema_findings(df: DataFrame, expected: Mapping[str, str] = rules.EXPECTED_TYPES) -> DataFrame:
+    """:func:`schema_check` with ``bad_values``: how many values of a column of another type do not cast to the expected one."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cells = {c: [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())] for c, t in expected.items() if actual.get(c, t) != t}
+    found = schema_check(df, expected)
+    if not cells:
+        return found.withColumn("bad_values", F.lit(None).cast("long"))
+    return found.join(F.broadcast(_rows(df, cells, ["bad_values"])), "column", "left")  # one row per column
+
+
 def _there(df: DataFrame, c: str):
     """The value of a column, null where it is missing: null or, in floating columns, NaN."""
     return known(f"`{c}`") if df.schema[c].dataType.typeName() in ("float", "double") else F.col(f"`{c}`")

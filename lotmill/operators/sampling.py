@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ from lotmill.operators.copies import number_copies
 from lotmill.operators.lookups import attach
 
 PREFIX = 4  # hex digits: 65,536 histogram cells per class
-MAX_CLASSES = 10_000
 
 
 def content_hash(columns: Sequence[str], seed: int) -> Column:
@@ -39,44 +39,35 @@ def in_random_order(df: DataFrame, seed: int = 42, unique_key: Sequence[str] | N
     return df.withColumn("_h", content_hash(unique_key, seed))
 
 
-def class_sizes(df: DataFrame, label: str) -> dict:
-    """Rows per class; refuses columns that are no class labels. Rows without a label belong to no class."""
-    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes")
-    return {r[label]: r["n"] for r in sorted(rows, key=lambda r: (r[label] is None, r[label]))}
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """(label, n): rows per class, any number of classes. Rows without a label belong to no class."""
+    return df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def nth_hashes(ordered: DataFrame, label: str, ranks: Sequence[tuple]) -> DataFrame:
-    """(label, name columns): hash of the rank-th row of each class, for (label, name, rank) triples."""
-    names = sorted({name for _, name, _ in ranks})
-    spark = ordered.sparkSession
-    kind = ordered.schema[label].dataType.simpleString()
-    rows = spark.createDataFrame([(k, n, int(r)) for k, n, r in ranks if r > 0], f"`{label}` {kind}, name string, rank long")
+def nth_hashes(ordered: DataFrame, label: str, ranks: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(label, name columns): hash of the rank-th row of each class; ``ranks`` holds (label, name, rank)."""
     slim = ordered.select(label, "_h", F.substring("_h", 1, PREFIX).alias("_p"))
     cells = slim.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(W.partitionBy(label).orderBy("_p"))
     running = cells.select(label, "_p", (upto - F.col("_n")).alias("_before"), upto.alias("_upto"))
-    # at most MAX_CLASSES x names rows on the broadcast side
-    target = running.join(F.broadcast(rows), label).where(
+    target = running.join(ranks.where("rank > 0"), label).where(
         (F.col("_before") < F.col("rank")) & (F.col("rank") <= F.col("_upto"))
     ).select(label, "_p", "name", (F.col("rank") - F.col("_before")).alias("_local"))
     local = F.row_number().over(W.partitionBy(label, "_p", "name").orderBy("_h"))
-    hits = slim.join(F.broadcast(target), [label, "_p"]).withColumn("_rn", local).where(F.col("_rn") == F.col("_local"))
+    hits = attach(slim, target, [label, "_p"], "inner").withColumn("_rn", local).where(F.col("_rn") == F.col("_local"))
     return hits.groupBy(label).agg(*[F.max(F.when(F.col("name") == n, F.col("_h"))).alias(n) for n in names])
 
 
-def proportional(sizes: dict, total: int) -> dict:
-    """Share ``total`` over classes in proportion to their size, largest remainders first."""
-    everything = sum(sizes.values())
-    if not everything:
-        return {k: 0 for k in sizes}
-    exact = {k: total * n / everything for k, n in sizes.items()}
-    out = {k: math.floor(v) for k, v in exact.items()}
-    spare = total - sum(out.values())
-    for k in sorted(sizes, key=lambda k: (-(exact[k] - out[k]), list(sizes).index(k)))[:spare]:
-        out[k] += 1
-    return out
+def proportional(sizes: DataFrame, label: str, size: str, wanted: int, total: int, name: str) -> DataFrame:
+    """Adds ``name``: ``wanted`` shared in proportion to ``size`` (which sums to ``total``), largest remainders first.
+
+    The windows hold one row per class.
+    """
+    exact = F.lit(wanted) * F.col(size) / F.lit(max(total, 1))
+    parts = sizes.withColumns({"_floor": F.floor(exact), "_left": exact - F.floor(exact)})
+    spare = F.lit(wanted) - F.sum("_floor").over(W.partitionBy())
+    place = F.row_number().over(W.orderBy(F.desc("_left"), label))
+    return parts.withColumn(name, F.col("_floor") + (place <= spare).cast("long")).drop("_floor", "_left")
 
 
 def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, val_size: float = 0.25, seed: int = 42,
@@ -87,14 +78,15 @@ def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, val_size
     """
     df = df.where(F.col(label).isNotNull())
     sizes = class_sizes(df, label)
-    total = sum(sizes.values())
-    test = proportional(sizes, math.ceil(test_size * total))
-    rest = {k: n - test[k] for k, n in sizes.items()}
-    val = proportional(rest, math.ceil(val_size * sum(rest.values())))
-    ranks = [(k, "_test", test[k]) for k in sizes] + [(k, "_val", test[k] + val[k]) for k in sizes]
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    n_test = math.ceil(test_size * total)
+    tested = proportional(sizes, label, "n", n_test, total, "_in_test").withColumn("_rest", F.col("n") - F.col("_in_test"))
+    parts = proportional(tested, label, "_rest", math.ceil(val_size * (total - n_test)), total - n_test, "_in_val")
+    both = F.array(F.struct(F.lit("_test").alias("name"), F.col("_in_test").alias("rank")),
+                   F.struct(F.lit("_val").alias("name"), (F.col("_in_test") + F.col("_in_val")).alias("rank")))
+    ranks = parts.select(label, F.inline(both))
     ordered = in_random_order(df, seed, unique_key)
-    cuts = nth_hashes(ordered, label, ranks)
-    joined = ordered.join(F.broadcast(cuts), label, "left")  # one row per class, checked above
+    joined = attach(ordered, nth_hashes(ordered, label, ranks, ["_test", "_val"]), [label])
     split = F.when(F.col("_h") <= F.col("_test"), "test").when(F.col("_h") <= F.col("_val"), "val").otherwise("train")
     return joined.withColumn("split", split).select(*df.columns, "split")
 
@@ -103,10 +95,10 @@ def undersample(df: DataFrame, label: str, seed: int = 42, unique_key: Sequence[
     """Every class cut to the size of the smallest one."""
     df = df.where(F.col(label).isNotNull())
     sizes = class_sizes(df, label)
-    smallest = min(sizes.values(), default=0)
+    smallest = sizes.agg(F.min("n")).first()[0] or 0
     ordered = in_random_order(df, seed, unique_key)
-    cuts = nth_hashes(ordered, label, [(k, "_last", smallest) for k in sizes])
-    joined = ordered.join(F.broadcast(cuts), label)  # one row per class, checked above
+    cuts = nth_hashes(ordered, label, sizes.select(label, F.lit("_last").alias("name"), F.lit(smallest).cast("long").alias("rank")), ["_last"])
+    joined = attach(ordered, cuts, [label], "inner")
     return joined.where(F.col("_h") <= F.col("_last")).select(*df.columns)
 
 
@@ -116,7 +108,8 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, unique_key: Sequence[str]
     total = df.count()
     if total <= n:
         return df
-    cut = nth_hashes(ordered, "_all", [(0, "_last", n)]).select("_last").scalar()
+    ranks = df.sparkSession.createDataFrame([(0, "_last", n)], "_all int, name string, rank long")
+    cut = nth_hashes(ordered, "_all", ranks, ["_last"]).select("_last").scalar()
     return ordered.where(F.col("_h") <= cut).select(*df.columns)
 
 

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from lotmill import rules
 from lotmill.operators import copies, forest, quality
 
-LISTED_VALUES = 200  # invalid values printed in a report; the check's table always holds all of them
-
 
 def _entry(check: str, issues: list[str], stats: Mapping, passed: bool | None = None) -> dict:
     return {
@@ -32,6 +30,7 @@ class Validator:
 
     def __init__(self) -> None:
         self.results: list[dict] = []
+        self.invalid_values: DataFrame | None = None
 
     def _keep(self, entry: dict) -> dict:
         self.results.append(entry)
@@ -58,13 +57,10 @@ class Validator:
     def validity(self, df: DataFrame) -> dict:
         ranges = _by_column(quality.range_checks(df)) if set(rules.RANGE_RULES) & set(df.columns) else {}
         issues = [f"column {c}: {d[k]} values {k.replace('_', ' ')}" for c, d in ranges.items() for k in ("below_min", "above_max") if d[k]]
-        invalid = quality.category_checks(df)
+        invalid = self.invalid_values = quality.category_checks(df)
         counts = {r["column"]: r["n"] for r in invalid.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        listed: dict[str, list] = {}
-        for r in invalid.orderBy("column", "invalid_value").limit(LISTED_VALUES).collect():
-            listed.setdefault(r["column"], []).append(r["invalid_value"])
-        issues += [f"column {c}: {n} values outside the list, such as {listed.get(c, [])}" for c, n in sorted(counts.items())]
-        return self._keep(_entry("Validity", issues, {"range_checks": ranges, "invalid_value_counts": counts, "invalid_values": listed}))
+        issues += [f"column {c}: {n} values outside the list" for c, n in sorted(counts.items())]
+        return self._keep(_entry("Validity", issues, {"range_checks": ranges, "invalid_value_counts": counts}))
 
     def outliers_zscore(self, df: DataFrame) -> dict:
         return self._outliers("Outliers_ZScore", quality.zscore_outliers(df))
@@ -103,10 +99,16 @@ class Validator:
                 self.outliers_isolation_forest, self.distribution, self.relationships]
 
     def run_all(self, df: DataFrame, prefix: str | None = None) -> dict:
-        """Every check in fixed order on one kept copy of the table; writes ``<prefix>.txt/.json``."""
+        """Every check in fixed order on one kept copy of the table.
+
+        Writes ``<prefix>.txt/.json`` and, as a table of any size, every invalid value: ``<prefix>_invalid_values``.
+        """
         kept = df.persist()
         for check in self.checks():
             check(kept)
+        if prefix:
+            self.invalid_values.write.mode("overwrite").parquet(f"{prefix}_invalid_values")
+            next(r for r in self.results if r["check_type"] == "Validity")["stats"]["invalid_values_path"] = f"{prefix}_invalid_values"
         kept.unpersist()
         return self.report(df.sparkSession, prefix)
 

@@ -6,7 +6,7 @@ tables finds its row, so leaving out a join does not change the row set.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotmill.functions.numeric import tier
@@ -79,6 +79,15 @@ def scraped_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumnsRenamed({"kilometer": "mileage", "registration": "year", "power_text": "power"})
 
 
+def spelled(values) -> Column:
+    """One of the given spellings per row, by part key; :func:`spelled_sql` is the same in SQL."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("l_partkey") % len(values) + 1).cast("int"))
+
+
+def spelled_sql(values) -> str:
+    return "([" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + f"])[CAST(l_partkey % {len(values)} + 1 AS BIGINT)]"
+
+
 def predictions(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Tier codes as truth and a deterministic pseudo-prediction that errs in a known pattern."""
     base = listings(spark, sf_dir, "price", "l_orderkey", "l_partkey", *extra)

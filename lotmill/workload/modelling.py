@@ -6,15 +6,17 @@ import tempfile
 import uuid
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lotmill import rules
 from lotmill.functions.text import display_name
-from lotmill.operators import forest, selection
+from lotmill.operators import encode, forest, selection
 from lotmill.operators.encode import feature_columns
 from lotmill.plans import score, train
 from lotmill.session import shared_dir
 from lotmill.sources import tables
-from lotmill.workload.listings import KEYS, listings, with_listings
+from lotmill.workload.listings import KEYS, LISTING, listings, with_listings
 from lotmill.workload.registry import query
 
 YEAR = 2026
@@ -26,27 +28,45 @@ def complete_listings(spark, sf):
 
 
 def scratch(spark, name: str) -> str:
-    """A new folder under the shared checkpoint folder; a temporary one only where none is named."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return f"{shared_dir(spark)}/lotmill-{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"lotmill-{name}-") + "/t"
+    """A new folder under the shared checkpoint folder; a temporary one only in local mode, where all tasks share the machine."""
+    master = spark.sparkContext.master
+    fallback = tempfile.gettempdir() if master == "local" or master.startswith("local[") else None
+    return f"{shared_dir(spark, fallback)}/lotmill-{name}-{uuid.uuid4().hex}"
 
 
-@query("a9_isolation_forest")
+@query("a9_isolation_forest", with_listings("SELECT count(*) AS rows, true AS share_as_set, true AS percentages_agree FROM listings"))
 def a9(spark, sf):
-    return forest.isolation_forest(listings(spark, sf, "price", "power", "kilometer", "yearOfRegistration"))
+    """Properties of the report row: the flagged share is the contamination (less only by ties of the score at the cut)."""
+    found = forest.isolation_forest(listings(spark, sf, "price", "power", "kilometer", "yearOfRegistration"))
+    share = F.col("outlier_count") / F.col("rows")
+    return found.select("rows", share.between(0.115, 0.1201).alias("share_as_set"),
+                        ((F.abs(share * 100 - F.col("outlier_pct")) < 1e-4) & (F.abs(100 - F.col("outlier_pct") - F.col("quality_score_pct")) < 0.01)).alias("percentages_agree"))
 
 
-@query("l1_tree_importance")
-def l1(spark, sf):
+def importances_of_expensive(spark, sf):
     rows = listings(spark, sf, "power", "kilometer", "yearOfRegistration", "price")
     rows = rows.withColumn("label", (F.col("price") >= 15000).cast("int")).drop("price")
     return selection.importance_scores(rows, feature_columns(rows), "label", trees=10, depth=4)
 
 
-@query("o3_top_importances")
+def importance_properties(table):
+    """Feature set, range and sum of importances; the window holds one row per feature."""
+    return table.select("feature", F.col("score").between(0, 1).alias("in_range"), F.round(F.sum("score").over(W.partitionBy()), 6).alias("total"))
+
+
+@query("l1_tree_importance", "SELECT unnest(['kilometer', 'power', 'yearOfRegistration']) AS feature, true AS in_range, 1.0e0 AS total")
+def l1(spark, sf):
+    return importance_properties(importances_of_expensive(spark, sf))
+
+
+_BY_CORRELATION = " UNION ALL ".join(f"""SELECT '{c}' AS feature, '{rules.DISPLAY_NAMES[c]}' AS shown, abs(corr("{c}", CASE WHEN price >= 15000 THEN 1 ELSE 0 END)) AS r FROM listings""" for c in ("power", "kilometer", "yearOfRegistration"))
+
+
+@query("o3_top_importances", with_listings(f"SELECT feature, shown FROM ({_BY_CORRELATION}) ORDER BY r DESC LIMIT 2"))
 def o3(spark, sf):
-    return l1(spark, sf).orderBy(F.desc("score"), "feature").limit(2).withColumn("shown", display_name("feature"))
+    """On these tables the two most important features are those with the largest correlation."""
+    top = importances_of_expensive(spark, sf).orderBy(F.desc("score"), "feature").limit(2)
+    return top.select("feature", display_name("feature").alias("shown"))
 
 
 SMALL = {
@@ -59,28 +79,65 @@ SMALL = {
 }
 
 
+_PARTS = """(SELECT n, n_test, CAST(ceil(0.25e0 * (n - n_test)) AS BIGINT) AS n_val FROM (SELECT n, CAST(ceil(0.2e0 * n) AS BIGINT) AS n_test FROM (SELECT count(*) AS n FROM listings WHERE "vehicleType" IS NOT NULL)))"""
+
+
 def _run(name: str):
     def run(spark, sf):
+        """Part sizes, and whether the model beats the majority class on the test part."""
         prepared = train.prepare(complete_listings(spark, sf), YEAR)
         result, _ = train.train_one(name, "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features, SMALL[name])
-        row = (result["model"], result["dataset"], result["val_f1"], result["test_f1"], result["severe_misclassification_rate"])
-        return spark.createDataFrame([row], "model string, dataset string, val_f1 double, test_f1 double, severe_misclassification_rate double")
+        base, _ = train.train_one("baseline", "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features)
+        sizes = prepared.data.groupBy("split").count().groupBy().pivot("split", ["train", "val", "test"]).agg(F.first("count"))
+        in_range = all(0 <= result[k] <= 1 for k in ("val_f1", "test_f1", "severe_misclassification_rate"))
+        return sizes.select(F.lit(result["model"]).alias("model"), F.lit(result["dataset"]).alias("dataset"), *[F.col(p).alias(f"n_{p}") for p in ("train", "val", "test")],
+                            F.lit(result["test_f1"] > base["test_f1"]).alias("beats_majority"), F.lit(in_range).alias("scores_in_range"))
     return run
 
 
 for _number, _name in enumerate(SMALL, 2):
-    query(f"t{_number}_{_name}")(_run(_name))
+    query(f"t{_number}_{_name}", with_listings(f"SELECT '{_name}' AS model, 'none' AS dataset, n - n_test - n_val AS n_train, n_val, n_test, true AS beats_majority, true AS scores_in_range FROM {_PARTS}"))(_run(_name))
 
 
-@query("t11_batch_scores")
-def t11(spark, sf):
-    """Train a shallow tree, save it with its feature stages, load it again and score every listing."""
+def _saved(spark, sf):
+    """A shallow tree with its feature stages: as fitted, and the folder it was saved in."""
     rows = complete_listings(spark, sf)
     prepared = train.prepare(rows, YEAR)
     _, model = train.train_one("decision_tree", "none", prepared.part("train"), prepared.part("val"), prepared.part("test"), prepared.features, SMALL["decision_tree"])
     path = scratch(spark, "model")
-    PipelineModel(stages=[*prepared.stages.stages, *model.stages]).write().overwrite().save(path)
-    return score.predict(rows, score.load_model(spark, path))
+    whole = PipelineModel(stages=[*prepared.stages.stages, *model.stages])
+    whole.write().overwrite().save(path)
+    return whole, path
+
+
+def _with_gaps(spark, sf):
+    """All listings, with and without a vehicle type; every seventh order lacks the power."""
+    rows = listings(spark, sf, *KEYS[:1], *LISTING)
+    return rows.withColumn("power", F.when(F.col("l_orderkey") % 7 != 0, F.col("power"))).drop("l_orderkey", "price", "price_tier")
+
+
+@query("t11_batch_scores", with_listings("SELECT count(*) AS n_rows, count(*) AS n_listed_tiers, count(*) AS n_same_as_in_memory, count(*) FILTER (l_orderkey % 7 = 0) AS n_without_power FROM listings"))
+def t11(spark, sf):
+    """The model as saved and loaded gives every row, nulls included, the tier of the model in memory."""
+    whole, path = _saved(spark, sf)
+    first = score.predict(_with_gaps(spark, sf), whole).withColumnsRenamed({"predicted_tier": "first_tier", "confidence": "first_confidence"})
+    both = score.predict(first, score.load_model(spark, path))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("predicted_tier").isin(*rules.TIERS)).alias("n_listed_tiers"),
+                    F.count_if((F.col("predicted_tier") == F.col("first_tier")) & F.col("confidence").eqNullSafe(F.col("first_confidence"))).alias("n_same_as_in_memory"),
+                    F.count_if(F.col("power").isNull()).alias("n_without_power"))
+
+
+@query("t12_table_scores", with_listings("SELECT count(*) AS n_rows, count(*) AS n_sum_to_one, count(*) AS n_tier_of_largest FROM listings"))
+def t12(spark, sf):
+    """Table-to-table scoring, and the probabilities behind each tier."""
+    _, path = _saved(spark, sf)
+    rows, source = _with_gaps(spark, sf), scratch(spark, "in")
+    tables.write_table(rows, source, "parquet")
+    scored = score.predict_table(spark, source, path, scratch(spark, "out"))
+    chances = score.predict(scored.drop("predicted_tier", "confidence"), score.load_model(spark, path), with_probabilities=True)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+    largest = F.element_at(F.array(*[F.lit(t) for t in rules.TIERS]), F.array_position("probabilities", F.array_max("probabilities")).cast("int"))
+    return chances.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_to_one"), F.count_if(F.col("predicted_tier") == largest).alias("n_tier_of_largest"))
 
 
 @query("s1_k1_csv_round_trip", with_listings(f"""SELECT {', '.join(KEYS)}, brand, "vehicleType", price FROM listings"""))
@@ -99,11 +156,15 @@ def k5(spark, sf):
     return tables.read_table(spark, path).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("t14_importances_of_a_run")
+_NUMBERS = ["power", "kilometer", "vehicleAge", "kmPerYear", "km_power_ratio", "log_km", "brand_freq", "model_freq"]
+_ENCODED = f"SELECT unnest({_NUMBERS}) AS feature" + "".join(f""" UNION ALL SELECT '{c}_' || v FROM (SELECT DISTINCT "{c}" AS v FROM whole) WHERE v > (SELECT min("{c}") FROM whole)""" for c in encode.CATEGORIES)
+
+
+@query("t14_importances_of_a_run", with_listings(f"SELECT feature, true AS in_range, 1.0e0 AS total FROM ({_ENCODED})", 'whole AS (SELECT * FROM listings WHERE "vehicleType" IS NOT NULL)'))
 def t14(spark, sf):
     prepared = train.prepare(complete_listings(spark, sf), YEAR)
     numbers = prepared.part("train").select(*[F.col(f"`{c}`").cast("double").alias(c) for c in prepared.features], "label").na.fill(0.0)
     model = train.assembled(prepared.features, SMALL["random_forest"].make({"trees": 10, "depth": 5, "min_split": 2}, 1)).fit(numbers)
-    return selection.importance_table(spark, model.stages[-1], prepared.features).orderBy(F.desc("score"), "feature")
+    return importance_properties(selection.importance_table(spark, model.stages[-1], prepared.features))
 
 

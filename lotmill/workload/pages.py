@@ -16,11 +16,20 @@ def s7(spark, sf):
         "page_id", "url", html.element_text("html", "title").alias("title"), html.element_text("html", "h1").alias("heading"))
 
 
-@query("c18_payload_links", "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
+@query("c18_event_property", "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
 def c18(spark, sf):
     return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
+@query("c18_payload_links", "SELECT page_id, unnest([0, 1]) AS pos, unnest([url, '/offers/' || page_id]) AS link FROM pages WHERE page_id % 3 <> 0")
+def c18_payload(spark, sf):
+    """Pages get an embedded payload made of their own columns; every third page gets none."""
+    payload = F.concat(F.lit('<script type="application/json" id="__NEXT_DATA__">{"props":{"pageProps":{"listings":[{"url":"'), "url",
+                       F.lit('"},{"url":""},{"id":1},{"url":"/offers/'), F.col("page_id").cast("string"), F.lit('"}]}}}</script>'))
+    pages = table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 3 != 0, F.concat(payload, "html")).otherwise(F.col("html")).alias("html"))
+    return pages.select("page_id", F.posexplode(html.payload_links("html")).alias("pos", "link"))
+
+
 _BASE = "http://listings.example.com"
 
 
@@ -38,6 +47,11 @@ def c19b(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.explode(html.page_links("html", _BASE, "/")).alias("link"))
 
 
-@query("c20_labelled_values", r"""SELECT page_id, trim(regexp_extract(html, '(?is)<dt[^>]*>\s*Body\ type\s*</dt>\s*<dd[^>]*>([^<]*)', 1)) AS body_type FROM pages""")
+@query("c20_labelled_values", """SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN url ELSE '' END AS body_type, CASE WHEN page_id % 3 <> 0 THEN page_id || ' kW' ELSE '' END AS power FROM pages""")
 def c20(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.labelled_value("html", "Body type").alias("body_type"))
+    """Pages get label markup made of their own columns; every third page gets none."""
+    markup = F.concat(F.lit('<dl><dt>Doors</dt><dd>5</dd><dt class="k"> Body type </dt>\n<dd class="v"> '), "url",
+                      F.lit(' </dd></dl><div class="itemTitle">Fuel</div><div class="itemText">gas</div><div class="c itemTitle"> Power</div> <div class="itemText c"> '),
+                      F.col("page_id").cast("string"), F.lit(" kW </div>"))
+    pages = table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 3 != 0, F.concat(markup, "html")).otherwise(F.col("html")).alias("html"))
+    return pages.select("page_id", html.labelled_value("html", "Body type").alias("body_type"), html.overview_value("html", "Power").alias("power"))

@@ -8,7 +8,8 @@ from lotmill import rules
 from lotmill.functions import numeric as num
 from lotmill.functions import text as txt
 from lotmill.operators import lookups, project
-from lotmill.workload.listings import KEYS, archive_source, listings, scraped_source, table, with_listings
+from lotmill.plans import merge
+from lotmill.workload.listings import KEYS, archive_source, listings, scraped_source, spelled, spelled_sql, table, with_listings
 from lotmill.workload.registry import query
 
 _KEYS = ", ".join(KEYS)
@@ -48,10 +49,10 @@ def p3(spark, sf):
     return project.with_source(listings(spark, sf, "brand", "price"), "kaggle")
 
 
-@query("p4_aligned_layout", with_listings('SELECT brand, gearbox, price, "yearOfRegistration" FROM listings'))
+@query("p4_aligned_layout", with_listings("""SELECT brand, gearbox, kilometer, "yearOfRegistration", side AS "dataSource" FROM listings, (VALUES ('kaggle'), ('crawled')) s(side)"""))
 def p4(spark, sf):
-    both = archive_source(spark, sf)
-    return both.select("brand", "gearbox", "price", "yearOfRegistration")
+    columns = ["brand", "gearbox", "kilometer", "yearOfRegistration", "dataSource"]
+    return merge.union_sources(archive_source(spark, sf), scraped_source(spark, sf), columns)
 
 
 @query("p5_drop_columns", with_listings('SELECT price, price_tier FROM listings'))
@@ -128,7 +129,7 @@ def p16(spark, sf):
     return listings(spark, sf, "fuelType", "gearbox").groupBy(txt.run_label("fuelType", "gearbox").alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("p17_numeric_columns")
+@query("p17_numeric_columns", with_listings('SELECT power, kilometer, "yearOfRegistration", price FROM listings'))
 def p17(spark, sf):
     from lotmill.operators.profile import numeric_columns
 
@@ -174,21 +175,28 @@ def category_sql(column: str, aliases) -> str:
     return _case(aliases, name, name)
 
 
-@query("c3_brand_name", _row(f"{brand_sql('brand')} AS brand"))
+_BRANDS = [*rules.BRAND_ALIASES, *rules.BRANDS_TO_DROP, "BMW!", " Land_Rover "]
+_MODELS = [*rules.MODEL_ALIASES, *rules.MODELS_TO_DROP, "A 4!"]
+_VEHICLES = [*rules.VEHICLE_ALIASES, "Coupe", "station_wagon"]
+_FUELS = [*rules.FUEL_ALIASES, "diesel"]
+
+
+@query("c3_brand_name", _row(f"{brand_sql('brand')} AS brand, {brand_sql(spelled_sql(_BRANDS))} AS other"))
 def c3(spark, sf):
-    return listings(spark, sf, *KEYS, "brand").withColumn("brand", txt.brand_name("brand"))
+    return listings(spark, sf, *KEYS, "brand").select(*KEYS, txt.brand_name("brand").alias("brand"), txt.brand_name(spelled(_BRANDS)).alias("other"))
 
 
-@query("c4_model_name", _row(f"{model_sql('model')} AS model"))
+@query("c4_model_name", _row(f"{model_sql('model')} AS model, {model_sql(spelled_sql(_MODELS))} AS other"))
 def c4(spark, sf):
-    return listings(spark, sf, *KEYS, "model").withColumn("model", txt.model_name("model"))
+    return listings(spark, sf, *KEYS, "model").select(*KEYS, txt.model_name("model").alias("model"), txt.model_name(spelled(_MODELS)).alias("other"))
 
 
-@query("c5_category", _row(f"""{category_sql('seller', rules.SELLER_ALIASES)} AS seller, {category_sql('gearbox', rules.GEARBOX_ALIASES)} AS gearbox, {category_sql('model', rules.VEHICLE_ALIASES)} AS words"""))
+@query("c5_category", _row(f"""{category_sql('seller', rules.SELLER_ALIASES)} AS seller, {category_sql('gearbox', rules.GEARBOX_ALIASES)} AS gearbox, {category_sql('model', rules.VEHICLE_ALIASES)} AS words, {category_sql(spelled_sql(_VEHICLES), rules.VEHICLE_ALIASES)} AS vehicle"""))
 def c5(spark, sf):
     return listings(spark, sf, *KEYS, "seller", "gearbox", "model").select(
         *KEYS, txt.category("seller", rules.SELLER_ALIASES).alias("seller"),
-        txt.category("gearbox", rules.GEARBOX_ALIASES).alias("gearbox"), txt.category("model", rules.VEHICLE_ALIASES).alias("words"))
+        txt.category("gearbox", rules.GEARBOX_ALIASES).alias("gearbox"), txt.category("model", rules.VEHICLE_ALIASES).alias("words"),
+        txt.category(spelled(_VEHICLES), rules.VEHICLE_ALIASES).alias("vehicle"))
 
 
 @query("c6_horsepower", _row(r"TRY_CAST(nullif(regexp_extract(power_text, '\((\d+)\s*hp\)', 1), '') AS DOUBLE) AS hp"))
@@ -280,20 +288,23 @@ def j1(spark, sf):
         *KEYS, F.round(num.cpi_price("price", txt.leading_year("dateCrawled")), 6).alias("price"))
 
 
-@query("j2_alias_or_self", _row(_case(rules.GEARBOX_ALIASES, "gearbox", "gearbox") + " AS gearbox, " + _case(rules.FUEL_ALIASES, '"fuelType"', '"fuelType"') + ' AS "fuelType"'))
+@query("j2_alias_or_self", _row(_case(rules.GEARBOX_ALIASES, "gearbox", "gearbox") + " AS gearbox, " + _case(rules.FUEL_ALIASES, spelled_sql(_FUELS), spelled_sql(_FUELS)) + ' AS "fuelType"'))
 def j2(spark, sf):
-    return listings(spark, sf, *KEYS, "gearbox", "fuelType").select(
+    return listings(spark, sf, *KEYS, "gearbox").withColumn("fuelType", spelled(_FUELS)).select(
         *KEYS, txt.lookup_or_self("gearbox", rules.GEARBOX_ALIASES).alias("gearbox"), txt.lookup_or_self("fuelType", rules.FUEL_ALIASES).alias("fuelType"))
 
 
-@query("j3_frequency_lookup", with_listings("""SELECT l.l_orderkey, l.l_partkey, round(coalesce(f.freq, 0.0), 8) AS model_freq, 0.005e0 AS serving_freq
+_SERVED = [*rules.SERVING_MODEL_FREQUENCY, "rare-model"]
+
+
+@query("j3_frequency_lookup", with_listings(f"""SELECT l.l_orderkey, l.l_partkey, round(coalesce(f.freq, 0.0), 8) AS model_freq, {_case(rules.SERVING_MODEL_FREQUENCY, spelled_sql(_SERVED), _lit(rules.UNSEEN_FREQUENCY))} AS serving_freq
 FROM listings l LEFT JOIN (SELECT model, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM listings WHERE "dataSource" = 'kaggle') AS freq FROM listings WHERE "dataSource" = 'kaggle' GROUP BY 1) f ON l.model = f.model"""))
 def j3(spark, sf):
     rows = listings(spark, sf, "l_orderkey", "l_partkey", "model", "dataSource")
     freq = lookups.frequency_table(rows.where(F.col("dataSource") == "kaggle"), "model")
     joined = lookups.attach(rows, freq, ["model"])
     return joined.select("l_orderkey", "l_partkey", F.round(F.coalesce("freq", F.lit(0.0)), 8).alias("model_freq"),
-                         txt.lookup_or_default("model", rules.SERVING_MODEL_FREQUENCY, rules.UNSEEN_FREQUENCY).alias("serving_freq"))
+                         txt.lookup_or_default(spelled(_SERVED), rules.SERVING_MODEL_FREQUENCY, rules.UNSEEN_FREQUENCY).alias("serving_freq"))
 
 
 @query("j4_group_mode_fill", with_listings("""SELECT l.l_orderkey, l.l_partkey, l.brand, l.power, coalesce(l.vt, m.vt, 'unknown') AS "vehicleType"
@@ -317,9 +328,12 @@ def j6(spark, sf):
     return rows.join(listed, "l_partkey", "left_anti").select("l_orderkey", "l_partkey", "price")
 
 
-@query("j7_strict_lookup", _row(_case(rules.STRICT_GEARBOX, "gearbox", "NULL") + " AS gearbox, " + _case(rules.STRICT_FUEL, '"fuelType"', "NULL") + ' AS "fuelType", ' + _case({"privat": "private"}, "seller", "NULL") + " AS seller"))
+_STRICT = [*rules.STRICT_FUEL, "steam"]
+
+
+@query("j7_strict_lookup", _row(_case(rules.STRICT_GEARBOX, "gearbox", "NULL") + " AS gearbox, " + _case(rules.STRICT_FUEL, spelled_sql(_STRICT), "NULL") + ' AS "fuelType", ' + _case({"privat": "private"}, "seller", "NULL") + " AS seller"))
 def j7(spark, sf):
-    return listings(spark, sf, *KEYS, "gearbox", "fuelType", "seller").select(
+    return listings(spark, sf, *KEYS, "gearbox", "seller").withColumn("fuelType", spelled(_STRICT)).select(
         *KEYS, txt.lookup_or_null("gearbox", rules.STRICT_GEARBOX).alias("gearbox"),
         txt.lookup_or_null("fuelType", rules.STRICT_FUEL).alias("fuelType"), txt.lookup_or_null("seller", {"privat": "private"}).alias("seller"))
 

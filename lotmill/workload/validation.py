@@ -21,9 +21,12 @@ def numbers(spark, sf):
     return listings(spark, sf, *_NUM)
 
 
-@query("a1_schema_check")
+@query("a1_schema_check", with_listings("""SELECT * FROM (VALUES ('missing', 'seller', 'string', CAST(NULL AS VARCHAR), true, CAST(NULL AS BIGINT)), ('extra', 'extra', NULL, 'int', false, NULL)) t(kind, "column", expected, actual, fails, bad_values)
+UNION ALL SELECT 'type', 'power', 'double', 'string', true, count(*) FROM listings WHERE "fuelType" = 'building'"""))
 def a1(spark, sf):
-    return quality.schema_check(listings(spark, sf).drop("seller").withColumn("extra", F.lit(1)))
+    """A table without the seller, with an extra column, and with power as text that is not always a number."""
+    text = F.when(F.col("fuelType") == "building", "n/a").otherwise(F.col("power").cast("string"))
+    return quality.schema_findings(listings(spark, sf).drop("seller").withColumns({"extra": F.lit(1), "power": text}))
 
 
 @query("a2_completeness", with_listings(_each("""SELECT '{n}' AS "column", count(*) FILTER ({c} IS NULL) AS missing_count, round(count(*) FILTER ({c} IS NULL) * 1.0e0 / count(*) * 100, 4) AS missing_pct, ('{n}' <> 'brand' AND count(*) FILTER ({c} IS NULL) * 1.0e0 / count(*) > 0.05) AS failed FROM listings""", LISTING)))
@@ -101,11 +104,12 @@ def _cdf_sql(z: str) -> str:
     return f"CASE WHEN {z} > 0 THEN 1.0e0 - ({tail}) ELSE ({tail}) END"
 
 
-@query("a13_normality_test", with_listings(_each(f"""SELECT '{{n}}' AS "column", round(max(greatest(upto * 1.0e0 / total - cdf, cdf - (upto - k) * 1.0e0 / total)), 4) AS ks_statistic, true AS rejects_normality
+@query("a13_normality_test", with_listings(_each(f"""SELECT '{{n}}' AS "column", round(d, 4) AS ks_statistic, round(p, 4) AS ks_pvalue, p < 0.05 AS rejects_normality FROM (SELECT d, least(1.0e0, greatest(0.0e0, 2 * list_sum(list_transform(range(1, 101), lambda i: (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0e0 * i * i * t * t))))) AS p
+FROM (SELECT d, d * (sqrt(n) + 0.12e0 + 0.11e0 / sqrt(n)) AS t FROM (SELECT max(total) AS n, max(greatest(upto * 1.0e0 / total - cdf, cdf - (upto - k) * 1.0e0 / total)) AS d
 FROM (SELECT upto, k, total, {_cdf_sql('z')} AS cdf FROM (SELECT v, count(*) AS k, sum(count(*)) OVER (ORDER BY v) AS upto, sum(count(*)) OVER () AS total, any_value((v - m) / s) AS z
-FROM (SELECT {{c}} AS v FROM listings), (SELECT avg({{c}}) AS m, stddev_samp({{c}}) AS s FROM listings) GROUP BY v))""")))
+FROM (SELECT {{c}} AS v FROM listings), (SELECT avg({{c}}) AS m, stddev_samp({{c}}) AS s FROM listings) GROUP BY v)))))""")))
 def a13(spark, sf):
-    return quality.distribution(numbers(spark, sf)).select("column", "ks_statistic", "rejects_normality")
+    return quality.distribution(numbers(spark, sf)).select("column", "ks_statistic", "ks_pvalue", "rejects_normality")
 
 
 @query("a14_pearson_matrix", with_listings(" UNION ALL ".join(f"""SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr("{a}", "{b}"), 4) AS r FROM listings""" for a in _NUM for b in _NUM)))
