@@ -1,7 +1,12 @@
 """Substring deduplication by paragraph MinHash banding.
 
-Paragraphs (lines) of ``min_words`` words or more get MinHash values of their word shingles. Bands are tuned for
-recall: the fewest bands of ``ROWS`` values that find a pair at the similarity threshold with probability RECALL.
+Paragraphs are lines of ``min_words`` words or more and, if ``span`` is given, stretches of fixed length around anchor
+words: the words whose shingle hash is the smallest of some run of words. Anchors depend on the words around them only, so
+any ``span`` words that two texts share, wherever they lie in their lines, hold a whole stretch that both texts cut alike.
+
+Paragraphs get MinHash values of their word shingles. For lines, bands are tuned for recall: the fewest bands of ``ROWS``
+values that find a pair at the similarity threshold with probability RECALL. A stretch has one band, as a passage
+holds several of them and equal ones collide for certain.
 Equal paragraphs are collapsed first; paragraphs that collide in a band are verified by exact Jaccard similarity and
 joined to components. Of every component the first occurrence stays and all others are to be removed.
 """
@@ -13,14 +18,16 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import written
+from lotmill.llm.common import small, written
 from lotmill.llm.shingle_join import linked_by_lists, parity_bits
-from lotmill.llm.words import bytes_of, mix, shingle_hashes, shingle_sets, slices, word_hashes
+from lotmill.llm.words import bytes_of, mix, shingle_hashes, shingle_sets, slices, word_hashes, word_spans
 
 MIN_WORDS = 20
+REACH = 10  # words of a stretch on each side of its anchor
+SPAN = 50  # words shared in a row that are found for certain
 ROWS = 3
 RECALL = 0.999
 
@@ -85,18 +92,97 @@ def _paragraphs(docs: DataFrame, k: int, bands: int, min_words: int) -> DataFram
     return docs.mapInArrow(rows, _PARAGRAPHS)
 
 
-def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _extremes(values: np.ndarray, width: int, of) -> np.ndarray:
+    """``of`` (minimum or maximum) of every ``width`` values in a row, by doubling; the last ``width - 1`` places are not filled."""
+    out, done = values.copy(), 1
+    while done < width:
+        step = min(done, width - done)
+        out[:-step] = of(out[:-step], out[step:])
+        done += step
+    return out
+
+
+def anchors(grams: np.ndarray, rows: np.ndarray, reach: int, span: int) -> np.ndarray:
+    """Places whose gram is the smallest of some ``span - 2 * reach`` places, all at least ``reach`` words inside their row."""
+    n, width = len(grams), span - 2 * reach
+    if n < span:
+        return np.zeros(0, np.int64)
+    lowest = _extremes(grams, width, np.minimum)
+    at = np.arange(n)
+    first, last = at - reach, np.minimum(at + width + reach - 1, n - 1)
+    inside = (first >= 0) & (at + width + reach <= n) & (rows[np.maximum(first, 0)] == rows[last])
+    lowest[~inside] = 0
+    padded = np.r_[np.zeros(width - 1, np.uint64), lowest]
+    chosen = (_extremes(padded, width, np.maximum)[:n] == grams) & (grams > 0)
+    chosen[1:] &= ~(chosen[:-1] & (grams[1:] == grams[:-1]))  # of a run of equal grams only the first
+    return np.flatnonzero(chosen)
+
+
+def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
+    """Place, size, content digest and band key of the stretch around every anchor; texts of fewer than ``span`` words have none."""
+
+    def rows(batches):
+        for batch in batches:
+            done = 0
+            for part in slices(batch.column(1)):
+                ids = batch.column(0).slice(done, len(part))
+                done += len(part)
+                data, offsets = bytes_of(part)
+                hashes, row = word_hashes(data, offsets)
+                n = len(hashes)
+                grams = mix(hashes)
+                for i in range(1, min(k, n)):  # as in shingle_hashes, but without an end at the row
+                    grams[:n - i] = mix(grams[:n - i] * np.uint64(3) + hashes[i:])
+                at = anchors(grams, row, REACH, span)
+                if not len(at):
+                    continue
+                low, high = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
+                for i in range(-REACH, REACH + 1):
+                    low, high = mix(low * np.uint64(3) + hashes[at + i]), mix(high * np.uint64(5) + hashes[at + i])
+                per = 2 * REACH + 2 - k
+                held = grams[(at - REACH)[:, None] + np.arange(per)].ravel()
+                key = band_keys(held, np.arange(0, len(held) + 1, per), 1, ROWS)[:, 0]
+                starts, stops = word_spans(data, offsets)
+                chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+                begin, home = chars[starts[at - REACH]], chars[offsets[row[at]]]
+                yield pa.RecordBatch.from_arrays([
+                    ids.take(pa.array(row[at])), pa.array(begin - home, pa.int32()), pa.array(chars[stops[at + REACH]] - begin, pa.int32()),
+                    pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), pa.array(key.view(np.int64))],
+                    names=["doc", "start", "length", "low", "high", "key"])
+
+    return docs.mapInArrow(rows, "doc long, start int, length int, low long, high long, key long")
+
+
+def _repeated_stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
+    """Stretches whose band key occurs at two places apart, in the columns of ``_paragraphs``."""
+    all_ = written(_stretches(docs, k, span), "stretches")
+    keys = all_.groupBy("key").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.col("start") + F.col("length")).alias("end"), F.max("start").alias("last"))
+    keys = keys.where("d0 < d1 OR end <= last").select("key")
+    again = all_.join(small(written(keys, "keys")), "key", "left_semi")
+    return again.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", "high", F.array("key").alias("bands"))
+
+
+def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                      span: int | None = None) -> DataFrame:
     """Every paragraph that repeats: one row (id, start, length, n_words, class_doc, class_start, n_in_class, removed).
 
     ``start`` and ``length`` count characters; the class is named by its first occurrence (smallest id, then start),
-    which alone has ``removed`` false. Repeats inside one document count. Null ids, null or empty texts and paragraphs
+    which alone has ``removed`` false. Members that overlap inside a document are one occurrence, and ``n_in_class``
+    counts occurrences. Repeats inside one document count. Null ids, null or empty texts and paragraphs
     of fewer than ``min_words`` words take no part; further columns are ignored; rows that repeat an id and text
     give their paragraphs once. Words are runs of other characters than blanks, A-Z lowered.
+
+    With ``span`` (30 or more), stretches of 21 words are paragraphs as well, across line ends too: any ``span`` words that
+    repeat word for word hold at least one of them. Stretches overlap each other and lines; of a long passage they
+    leave out less than ``span`` words at either end.
     """
+    if span is not None and span < 3 * REACH:
+        raise ValueError(f"span has to be at least {3 * REACH}")
     percent = round(100 * similarity)
     bands = bands_for(similarity)
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
-    paras = written(_paragraphs(docs, k, bands, min_words), "paragraphs")
+    paras = _paragraphs(docs, k, bands, min_words)
+    paras = written(paras if span is None else paras.unionByName(_repeated_stretches(docs, k, span)), "paragraphs")
     first = F.min(F.struct("doc", "start", "length")).alias("first")
     reps = paras.groupBy("low", "high").agg(first, F.min("words").alias("words"), F.min(F.struct("doc", "start", "bands")).alias("b"))
     reps = written(reps.select(F.monotonically_increasing_id().alias("id"), "low", "high", "first", F.col("b.bands").alias("bands")), "reps")
@@ -121,21 +207,28 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
 
     named = reps.join(found, "id", "left").select("low", "high", F.coalesce("component", "id").alias("class"))
     placed = paras.select("doc", "start", "length", "words", "low", "high").distinct().join(named, ["low", "high"])
-    groups = placed.groupBy("class").agg(F.min(F.struct("doc", "start")).alias("lead"), F.count(F.lit(1)).alias("n_in_class")).where("n_in_class > 1")
+    multiple = placed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
+    placed = written(placed.join(multiple, "class"), "placed")
+    order = Window.partitionBy("class", "doc").orderBy("start", "length")  # no more than one document has
+    before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = placed.withColumn("apart", (before.isNull() | (F.col("start") >= before)).cast("long"))
+    placed = placed.withColumn("turn", F.sum("apart").over(order))
+    groups = placed.groupBy("class").agg(F.min(F.struct("doc", "start")).alias("lead"), F.sum("apart").alias("n_in_class")).where("n_in_class > 1")
     out = placed.join(groups, "class")
-    removed = (F.col("doc") != F.col("lead.doc")) | (F.col("start") != F.col("lead.start"))
+    removed = (F.col("doc") != F.col("lead.doc")) | (F.col("turn") > 1)
     return out.select(F.col("doc").alias(id_col), "start", "length", F.col("words").alias("n_words"), F.col("lead.doc").alias("class_doc"),
                       F.col("lead.start").alias("class_start"), "n_in_class", removed.alias("removed"))
 
 
 def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the removed passages cut out of their texts; all other columns stay."""
-    cuts = found.where("removed").groupBy(F.col(id_col).alias("_cut_id")).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_cuts"))
+    """``docs`` with the removed passages, which may overlap, cut out of their texts; all other columns stay."""
+    cuts = found.where("removed").groupBy(F.col(id_col).alias("_cut_id")).agg(F.sort_array(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length")))).alias("_cuts"))
     joined = docs.select(F.struct("*").alias("_row")).join(cuts, F.col("_row").getField(id_col) == F.col("_cut_id"), "left")
     text = F.col("_row").getField(text_col)
     begin = F.lit(0)
     kept = F.aggregate("_cuts", F.struct(F.lit("").alias("out"), begin.alias("at")),
-                       lambda acc, c: F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + 1, c["start"] - acc["at"])).alias("out"), (c["start"] + c["length"]).alias("at")),
+                       lambda acc, c: F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(c["start"] - acc["at"], F.lit(0)))).alias("out"),
+                                              F.greatest(acc["at"], c["start"] + c["length"]).alias("at")),
                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     new = F.when(F.col("_cuts").isNull(), text).otherwise(kept)
     return joined.select(*[new.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])

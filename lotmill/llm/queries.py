@@ -78,4 +78,4 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.repeated_passages(table(spark, sf_dir, "documents"), span=passages.SPAN)

@@ -54,10 +54,10 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word (run of bytes other than blanks 9-13 and 32, A-Z lowered) and its row."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word (run of bytes other than blanks 9-13 and 32) and the byte after it."""
     if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     blank = _SPACE[data]
     first = ~blank
     first[1:] &= blank[:-1]
@@ -68,8 +68,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     last[:-1] &= blank[1:]
     ends = offsets[1:][offsets[:-1] < offsets[1:]] - 1
     last[ends] |= ~blank[ends]
-    stops = np.flatnonzero(last) + 1
-    del blank, first, last
+    return starts, np.flatnonzero(last) + 1
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word (A-Z lowered) and its row."""
+    starts, stops = word_spans(data, offsets)
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):

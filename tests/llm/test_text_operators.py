@@ -350,3 +350,36 @@ def test_pipeline_stages(spark, docs, tmp_path):
     kept = {i for i, (_, top) in components.items() if i == top} - {2, 600}
     assert {i for i in out if i is not None} == kept and out[None].text == "a text without an id"
     assert len(corpus_pipeline.STAGES) == 5 and {"mix_rate", "mix_copies", *frame.columns} <= set(out[0].asDict())
+
+
+def test_passages_inside_lines_are_found(spark):
+    shared = [prose(n, "de") for n in (50, 51, 64, 300)]
+    rows = [(10 * i + j, f"{prose(30 + 7 * j)} {s.replace("e", "E") if j else s} {prose(11 * j)}".strip(), "en") for i, s in enumerate(shared) for j in range(4)]
+    rows += [(100, "é " + prose(20) + "\n" + shared[2].replace(" ", "\n") + "\n" + prose(40), "en"), (101, prose(400), "en"), (102, "word " * 3_000, "en"), (103, None, "en"),
+             (104, "", None), (None, shared[0], "en"), *[(200 + i, prose(500), "en") for i in range(20)], (105, " ".join(shared[3].split()[:40]), "en"), (101, rows[1][1], "en")]
+    frame = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, lang string, low int, key string")
+    got = passages.repeated_passages(frame, span=50).collect()
+    kinds = {}
+    for r in got:
+        kinds.setdefault((r.class_doc, r.class_start, r.n_in_class), []).append(r)
+    for (doc, start, n), members in kinds.items():  # only the first occurrence stays
+        assert n > 1 and all(m.removed for m in members if m.doc_id != doc) and not all(m.removed for m in members)
+    for i in range(4):
+        first = {(m.class_doc, m.class_start) for m in got if m.doc_id == 10 * i}
+        assert all(first & {(m.class_doc, m.class_start) for m in got if m.doc_id == 10 * i + j} for j in range(4))
+    assert {m.class_doc for m in got if m.doc_id == 100} == {20} and not {103, 104, None, *range(200, 220)} & {m.doc_id for m in got}
+    bare = passages.without_passages(frame, spark.createDataFrame(got)).where("doc_id in (30, 33)").orderBy("doc_id").collect()
+    assert bare[0].text == rows[12][1] and len(bare[1].text.split()) < len(rows[15][1].split()) - 200
+
+
+def test_anchors_are_the_minima_of_runs():
+    gen = np.random.default_rng(3)
+    for n in (0, 10, 49, 50, 51, 300):
+        grams = gen.integers(1, 40 if n == 300 else 1 << 60, n, dtype=np.uint64)
+        rows = np.sort(gen.integers(0, 3, n))
+        expected = set()
+        for s in range(n):
+            if s >= 10 and s + 40 <= n and rows[s - 10] == rows[s + 39]:
+                expected |= {s + i for i in range(30) if grams[s + i] == grams[s:s + 30].min()}
+        expected -= {i for i in expected if i - 1 in expected and grams[i] == grams[i - 1]} if n else set()
+        assert set(passages.anchors(grams, rows, 10, 50).tolist()) == expected
