@@ -119,7 +119,7 @@ def anchors(grams: np.ndarray, rows: np.ndarray, reach: int, span: int) -> np.nd
 
 
 def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
-    """Place, size, content digest and band key of the stretch around every anchor; texts of fewer than ``span`` words have none."""
+    """Place, size, content hash and band key (which follows from the content, too) of the stretch around every anchor; texts of fewer than ``span`` words have none."""
 
     def rows(batches):
         for batch in batches:
@@ -136,9 +136,9 @@ def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
                 at = anchors(grams, row, REACH, span)
                 if not len(at):
                     continue
-                low, high = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
+                low = np.zeros(len(at), np.uint64)
                 for i in range(-REACH, REACH + 1):
-                    low, high = mix(low * np.uint64(3) + hashes[at + i]), mix(high * np.uint64(5) + hashes[at + i])
+                    low = mix(low * np.uint64(3) + hashes[at + i])
                 per = 2 * REACH + 2 - k
                 held = grams[(at - REACH)[:, None] + np.arange(per)].ravel()
                 key = band_keys(held, np.arange(0, len(held) + 1, per), 1, ROWS)[:, 0]
@@ -147,19 +147,20 @@ def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
                 begin, home = chars[starts[at - REACH]], chars[offsets[row[at]]]
                 yield pa.RecordBatch.from_arrays([
                     ids.take(pa.array(row[at])), pa.array(begin - home, pa.int32()), pa.array(chars[stops[at + REACH]] - begin, pa.int32()),
-                    pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), pa.array(key.view(np.int64))],
-                    names=["doc", "start", "length", "low", "high", "key"])
+                    pa.array(low.view(np.int64)), pa.array(key.view(np.int64))], names=["doc", "start", "length", "low", "key"])
 
-    return docs.mapInArrow(rows, "doc long, start int, length int, low long, high long, key long")
+    return docs.mapInArrow(rows, "doc long, start int, length int, low long, key long")
 
 
 def _repeated_stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
     """Stretches whose band key occurs at two places apart, in the columns of ``_paragraphs``."""
     all_ = written(_stretches(docs, k, span), "stretches")
-    keys = all_.groupBy("key").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.col("start") + F.col("length")).alias("end"), F.max("start").alias("last"))
-    keys = keys.where("d0 < d1 OR end <= last").select("key")
-    again = all_.join(small(written(keys, "keys")), "key", "left_semi")
-    return again.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", "high", F.array("key").alias("bands"))
+    keys = written(all_.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "keys")  # narrow rows first
+    again = written(all_.join(small(keys), "key", "left_semi"), "again")
+    places = again.groupBy("key").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.col("start") + F.col("length")).alias("end"), F.max("start").alias("last"))
+    once = places.where("d0 = d1 AND end > last").select("key")
+    again = again.join(small(written(once, "once")), "key", "left_anti")
+    return again.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", F.col("key").alias("high"), F.array("key").alias("bands"))
 
 
 def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
@@ -192,7 +193,8 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
 
     wanted = reps.join(lists.select("id").distinct(), "id", "left_semi").select("id", F.col("first.doc").alias("doc"), F.col("first.start").alias("start"), F.col("first.length").alias("length"))
     wanted = written(wanted.groupBy("doc").agg(F.collect_list(F.struct("id", "start", "length")).alias("parts")), "wanted")
-    texts = docs.join(wanted, "doc").select(F.explode("parts").alias("p"), "text")
+    near_docs = docs.join(small(wanted.select("doc")), "doc", "left_semi")  # other texts are not moved
+    texts = near_docs.join(wanted, "doc").select(F.explode("parts").alias("p"), "text")
     texts = texts.select("p.id", F.substring("text", F.col("p.start") + 1, F.col("p.length")).alias("text")).dropDuplicates(["id"])
     texts = written(texts, "texts")
 

@@ -367,7 +367,8 @@ def test_passages_inside_lines_are_found(spark):
     for i in range(4):
         first = {(m.class_doc, m.class_start) for m in got if m.doc_id == 10 * i}
         assert all(first & {(m.class_doc, m.class_start) for m in got if m.doc_id == 10 * i + j} for j in range(4))
-    assert {m.class_doc for m in got if m.doc_id == 100} == {20} and not {103, 104, None, *range(200, 220)} & {m.doc_id for m in got}
+    leads = {m.class_doc for m in got if m.doc_id == 100}  # a stretch at the passage's end may have its like in some of the others only
+    assert 20 in leads <= {20, 21, 22, 23} and not {103, 104, None, *range(200, 220)} & {m.doc_id for m in got}
     bare = passages.without_passages(frame, spark.createDataFrame(got)).where("doc_id in (30, 33)").orderBy("doc_id").collect()
     assert bare[0].text == rows[12][1] and len(bare[1].text.split()) < len(rows[15][1].split()) - 200
 
