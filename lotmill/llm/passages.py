@@ -3,6 +3,7 @@
 Paragraphs are lines of ``min_words`` words or more and, if ``span`` is given, stretches of fixed length around anchor
 words: the words whose shingle hash is the smallest of some run of words. Anchors depend on the words around them only, so
 any ``span`` words that two texts share, wherever they lie in their lines, hold a whole stretch that both texts cut alike.
+Stretches only find passages: their hits are joined and extended over all equal words around them.
 
 Paragraphs get MinHash values of their word shingles. For lines, bands are tuned for recall: the fewest bands of ``ROWS``
 values that find a pair at the similarity threshold with probability RECALL. A stretch has one band, as a passage
@@ -16,6 +17,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -32,6 +34,8 @@ ROWS = 3
 RECALL = 0.999
 
 _PARAGRAPHS = "doc long, para int, start int, length int, words int, low long, high long, bands array<long>"
+_SIDE = pa.schema([("doc", pa.int64()), ("tid", pa.int64()), ("word", pa.int32()), ("right", pa.bool_()), ("held", pa.binary()), ("chars", pa.list_(pa.int32()))])
+_NO_STRETCH = {"tid": "long", "word": "int", "size": "int", "gap": "long"}  # columns that lines have no value in
 
 
 def bands_for(similarity: float, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -118,6 +122,17 @@ def anchors(grams: np.ndarray, rows: np.ndarray, reach: int, span: int) -> np.nd
     return np.flatnonzero(chosen)
 
 
+def _gaps(hashes: np.ndarray, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words between each stretch and the one before it in its row, and their hash; -1 where there is none or they overlap."""
+    size, low = np.full(len(at), -1, np.int64), np.zeros(len(at), np.uint64)
+    near = np.flatnonzero((row[at[1:]] == row[at[:-1]]) & (at[1:] - at[:-1] > 2 * REACH)) + 1
+    size[near] = at[near] - at[near - 1] - 2 * REACH - 1
+    for i in range(int(size.max(initial=0))):
+        here = np.flatnonzero(size > i)
+        low[here] = mix(low[here] * np.uint64(3) + hashes[at[here] - REACH - 1 - i])
+    return size, low
+
+
 def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
     """Place, size, content hash and band key (which follows from the content, too) of the stretch around every anchor; texts of fewer than ``span`` words have none."""
 
@@ -145,11 +160,16 @@ def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
                 starts, stops = word_spans(data, offsets)
                 chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
                 begin, home = chars[starts[at - REACH]], chars[offsets[row[at]]]
+                word = at - REACH - np.searchsorted(row, row[at])
+                size, gap = _gaps(hashes, row, at)
+                gap ^= size.view(np.uint64)
                 yield pa.RecordBatch.from_arrays([
                     ids.take(pa.array(row[at])), pa.array(begin - home, pa.int32()), pa.array(chars[stops[at + REACH]] - begin, pa.int32()),
-                    pa.array(low.view(np.int64)), pa.array(key.view(np.int64))], names=["doc", "start", "length", "low", "key"])
+                    pa.array(low.view(np.int64)), pa.array(key.view(np.int64)), batch.column(2).slice(done - len(part), len(part)).take(pa.array(row[at])),
+                    pa.array(word, pa.int32()), pa.array(size, pa.int32()), pa.array(gap.view(np.int64))],
+                    names=["doc", "start", "length", "low", "key", "tid", "word", "size", "gap"])
 
-    return docs.mapInArrow(rows, "doc long, start int, length int, low long, key long")
+    return docs.mapInArrow(rows, "doc long, start int, length int, low long, key long, tid long, word int, size int, gap long")
 
 
 def _repeated_stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
@@ -160,7 +180,89 @@ def _repeated_stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
     places = again.groupBy("key").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.col("start") + F.col("length")).alias("end"), F.max("start").alias("last"))
     once = places.where("d0 = d1 AND end > last").select("key")
     again = again.join(small(written(once, "once")), "key", "left_anti")
-    return again.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", F.col("key").alias("high"), F.array("key").alias("bands"))
+    return again.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", F.col("key").alias("high"), F.array("key").alias("bands"),
+                        "tid", "word", "size", "gap")
+
+
+def _sides(docs: DataFrame, ends: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` word hashes from each of ``ends(doc, tid, word, right)`` outwards, nearest first, and the character
+    where the text up to that word begins or ends; entry 0 of ``chars`` belongs to no extension."""
+
+    def rows(batches):
+        for batch in batches:
+            done = 0
+            for part in slices(batch.column(2)):
+                data, offsets = bytes_of(part)
+                hashes, row = word_hashes(data, offsets)
+                starts, stops = word_spans(data, offsets)
+                chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+                cuts = np.searchsorted(row, np.arange(len(part) + 1))
+                out = []
+                for i in range(len(part)):
+                    doc, tid, wanted = (batch.column(c)[done + i].as_py() for c in (0, 1, 3))
+                    home, first, last = chars[offsets[i]], cuts[i], cuts[i + 1]
+                    for end in wanted:
+                        w, right = first + end["word"], end["right"]
+                        if right:  # w is the first word after the stretch
+                            held, places = hashes[w:min(w + most, last)], chars[stops[w - 1:min(w + most, last)]]
+                        else:  # w is the first word of the stretch
+                            low = max(first, w - most)
+                            held, places = hashes[low:w][::-1], chars[starts[low:w + 1]][::-1]
+                        out.append((doc, tid, end["word"], right, held.tobytes(), (places - home).tolist()))
+                done += len(part)
+                if out:
+                    yield pa.RecordBatch.from_pylist([dict(zip(_SIDE.names, o, strict=True)) for o in out], schema=_SIDE)
+
+    ends = written(ends.groupBy("doc", "tid").agg(F.collect_set(F.struct("word", "right")).alias("wanted")), "ends")  # no more than two per word
+    texts = docs.join(small(ends.select("doc", "tid")), ["doc", "tid"], "left_semi").select("doc", "tid", "text").dropDuplicates(["doc", "tid"])
+    joined = texts.join(ends, ["doc", "tid"]).select("doc", "tid", "text", "wanted")
+    return written(joined.mapInArrow(rows, "doc long, tid long, word int, right boolean, held binary, chars array<int>"), "sides")
+
+
+def _equal_words(one: pd.Series, other: pd.Series) -> pd.Series:
+    """How many 64-bit hashes two strings of them have in common from their begin."""
+    out = []
+    for x, y in zip(one, other, strict=True):
+        n = min(len(x), len(y)) // 8
+        differ = np.flatnonzero(np.frombuffer(x, np.uint64, n) != np.frombuffer(y, np.uint64, n))
+        out.append(int(differ[0]) if len(differ) else n)
+    return pd.Series(out, dtype="int32")
+
+
+def _whole(docs: DataFrame, hits: DataFrame, span: int) -> DataFrame:
+    """Whole passages of ``hits``: stretches and, as ``lead``, their first occurrences.
+
+    Neighbouring hits of a document and a first occurrence at one distance are joined where the words between them are
+    equal in both; the ends are extended over equal words. More than ``span`` equal words would hold a further stretch.
+    """
+    equal_words = F.pandas_udf(_equal_words, "int")
+    pair = ["doc", "tid", "l_doc", "l_tid", "shift"]
+    hits = hits.select("doc", "tid", "word", "words", "size", "gap", F.col("lead.doc").alias("l_doc"), F.col("lead.tid").alias("l_tid"), (F.col("word") - F.col("lead.word")).alias("shift"),
+                       ((F.col("gap") == F.col("lead.gap")) & (F.col("size") == F.col("lead.size"))).alias("same_gap")).distinct()
+    order = Window.partitionBy(*pair).orderBy("word")  # no more than one document has
+    before = F.lag(F.col("word") + F.col("words")).over(order)
+    joined = F.coalesce((before >= F.col("word")) | (F.col("same_gap") & (before + F.col("size") == F.col("word"))), F.lit(False))
+    runs = hits.withColumn("run", (~joined).cast("int")).withColumn("run", F.sum("run").over(order))
+    runs = runs.groupBy(*pair, "run").agg(F.min("word").alias("w0"), F.max(F.col("word") + F.col("words")).alias("w1"))
+    runs = written(runs.withColumn("l0", F.col("w0") - F.col("shift")).withColumn("l1", F.col("w1") - F.col("shift")), "runs")
+    ends = None
+    for doc, tid, word, right in [("doc", "tid", "w0", False), ("doc", "tid", "w1", True), ("l_doc", "l_tid", "l0", False), ("l_doc", "l_tid", "l1", True)]:
+        some = runs.select(F.col(doc).alias("doc"), F.col(tid).alias("tid"), F.col(word).alias("word"), F.lit(right).alias("right"))
+        ends = some if ends is None else ends.unionByName(some)
+    sides = _sides(docs, ends.distinct(), span)
+    for name, doc, tid, word, right in [("a", "doc", "tid", "w0", False), ("b", "doc", "tid", "w1", True), ("c", "l_doc", "l_tid", "l0", False), ("d", "l_doc", "l_tid", "l1", True)]:
+        side = sides.where(F.col("right") == right).select(F.col("doc").alias(doc), F.col("tid").alias(tid), F.col("word").alias(word), F.struct("held", "chars").alias(name))
+        runs = runs.join(side, [doc, tid, word])
+    # inside one document the copy must not run into its first occurrence
+    room = F.when((F.col("doc") == F.col("l_doc")) & (F.col("tid") == F.col("l_tid")), F.greatest(F.lit(0), F.col("shift") - (F.col("w1") - F.col("w0")))).otherwise(2 * span)
+    runs = runs.withColumn("room", room.cast("int")).withColumn("more", F.least(equal_words("b.held", "d.held"), "room"))
+    runs = runs.withColumn("less", F.least(equal_words("a.held", "c.held"), F.col("room") - F.col("more")))
+    at = lambda side, n: F.element_at(f"{side}.chars", F.col(n) + 1)
+    found = written(runs.select("doc", "l_doc", "l_tid", at("a", "less").alias("start"), at("b", "more").alias("end"), (F.col("w1") - F.col("w0") + F.col("less") + F.col("more")).alias("words"),
+                               at("c", "less").alias("l_start"), at("d", "more").alias("l_end")), "whole")
+    # stretches at the ends may be cut alike in some of the copies only; the first occurrence of all names the place
+    best = found.groupBy("doc", "start", "end").agg(F.min(F.struct("l_doc", "l_start", "l_end", "l_tid", "words")).alias("b"))
+    return written(best.select("doc", "start", "end", "b.*"), "places")
 
 
 def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
@@ -173,16 +275,19 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
     of fewer than ``min_words`` words take no part; further columns are ignored; rows that repeat an id and text
     give their paragraphs once. Words are runs of other characters than blanks, A-Z lowered.
 
-    With ``span`` (30 or more), stretches of 21 words are paragraphs as well, across line ends too: any ``span`` words that
-    repeat word for word hold at least one of them. Stretches overlap each other and lines; of a long passage they
-    leave out less than ``span`` words at either end.
+    With ``span`` (30 or more), passages across and inside lines are reported, too: any ``span`` words that repeat word
+    for word hold at least one stretch of 21 words, and its hits are joined and extended over all equal words around them. Such a
+    passage is what a place shares with the first occurrence; its class are the places that share one from the same
+    first word on, and its first occurrence is given as long as the longest of them. Passages and lines may overlap. Words beyond it
+    that later places share with each other only are reported where they hold a stretch of their own.
     """
     if span is not None and span < 3 * REACH:
         raise ValueError(f"span has to be at least {3 * REACH}")
     percent = round(100 * similarity)
     bands = bands_for(similarity)
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
-    paras = _paragraphs(docs, k, bands, min_words)
+    docs = docs.withColumn("tid", F.xxhash64("text"))
+    paras = _paragraphs(docs, k, bands, min_words).select("*", *[F.lit(None).cast(t).alias(c) for c, t in _NO_STRETCH.items()])
     paras = written(paras if span is None else paras.unionByName(_repeated_stretches(docs, k, span)), "paragraphs")
     first = F.min(F.struct("doc", "start", "length")).alias("first")
     reps = paras.groupBy("low", "high").agg(first, F.min("words").alias("words"), F.min(F.struct("doc", "start", "bands")).alias("b"))
@@ -193,7 +298,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
 
     wanted = reps.join(lists.select("id").distinct(), "id", "left_semi").select("id", F.col("first.doc").alias("doc"), F.col("first.start").alias("start"), F.col("first.length").alias("length"))
     wanted = written(wanted.groupBy("doc").agg(F.collect_list(F.struct("id", "start", "length")).alias("parts")), "wanted")
-    near_docs = docs.join(small(wanted.select("doc")), "doc", "left_semi")  # other texts are not moved
+    near_docs = docs.drop("tid").join(small(wanted.select("doc")), "doc", "left_semi")  # other texts are not moved
     texts = near_docs.join(wanted, "doc").select(F.explode("parts").alias("p"), "text")
     texts = texts.select("p.id", F.substring("text", F.col("p.start") + 1, F.col("p.length")).alias("text")).dropDuplicates(["id"])
     texts = written(texts, "texts")
@@ -208,18 +313,33 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
     found = linked_by_lists(lists, facts, texts, k, percent)
 
     named = reps.join(found, "id", "left").select("low", "high", F.coalesce("component", "id").alias("class"))
-    placed = paras.select("doc", "start", "length", "words", "low", "high").distinct().join(named, ["low", "high"])
+    placed = paras.select("doc", "start", "length", "words", "low", "high", *_NO_STRETCH).distinct().join(named, ["low", "high"])
     multiple = placed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
     placed = written(placed.join(multiple, "class"), "placed")
     order = Window.partitionBy("class", "doc").orderBy("start", "length")  # no more than one document has
     before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     placed = placed.withColumn("apart", (before.isNull() | (F.col("start") >= before)).cast("long"))
     placed = placed.withColumn("turn", F.sum("apart").over(order))
-    groups = placed.groupBy("class").agg(F.min(F.struct("doc", "start")).alias("lead"), F.sum("apart").alias("n_in_class")).where("n_in_class > 1")
+    lead = F.min(F.struct("doc", "start", "length", *_NO_STRETCH)).alias("lead")
+    groups = placed.groupBy("class").agg(lead, F.sum("apart").alias("n_in_class")).where("n_in_class > 1")
     out = placed.join(groups, "class")
     removed = (F.col("doc") != F.col("lead.doc")) | (F.col("turn") > 1)
-    return out.select(F.col("doc").alias(id_col), "start", "length", F.col("words").alias("n_words"), F.col("lead.doc").alias("class_doc"),
-                      F.col("lead.start").alias("class_start"), "n_in_class", removed.alias("removed"))
+    final = [F.col("doc").alias(id_col), "start", "length", F.col("words").alias("n_words"), "class_doc", "class_start", "n_in_class", "removed"]
+    out = out.withColumn("removed", removed).withColumn("class_doc", F.col("lead.doc")).withColumn("class_start", F.col("lead.start"))
+    if span is None:
+        return out.select(*final)
+    out = written(out, "out")
+    as_is = out.where("lead.word IS NULL OR word IS NULL").select(*final)  # classes of lines, and what they share with stretches
+    lined = out.where("lead.word IS NULL OR word IS NULL").select("class").distinct()
+    kept = out.where("word IS NOT NULL AND lead.word IS NOT NULL AND NOT removed").join(lined, "class", "left_semi").select(*final)
+    whole = _whole(docs, out.where("word IS NOT NULL AND lead.word IS NOT NULL AND removed"), span)
+    first = whole.groupBy("l_doc", "l_tid", "l_start").agg(F.max("l_end").alias("l_end"), F.max("words").alias("l_words"), (F.count(F.lit(1)) + 1).alias("n_in_class"))
+    named = whole.join(first.select("l_doc", "l_tid", "l_start", "n_in_class"), ["l_doc", "l_tid", "l_start"])
+    named = named.select(F.col("doc").alias(id_col), "start", (F.col("end") - F.col("start")).alias("length"), F.col("words").alias("n_words"), F.col("l_doc").alias("class_doc"),
+                         F.col("l_start").alias("class_start"), "n_in_class", F.lit(True).alias("removed"))
+    leads = first.select(F.col("l_doc").alias(id_col), F.col("l_start").alias("start"), (F.col("l_end") - F.col("l_start")).alias("length"), F.col("l_words").alias("n_words"),
+                         F.col("l_doc").alias("class_doc"), F.col("l_start").alias("class_start"), "n_in_class", F.lit(False).alias("removed"))
+    return as_is.unionByName(kept).unionByName(named).unionByName(leads)
 
 
 def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

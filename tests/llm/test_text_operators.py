@@ -384,3 +384,26 @@ def test_anchors_are_the_minima_of_runs():
                 expected |= {s + i for i in range(30) if grams[s + i] == grams[s:s + 30].min()}
         expected -= {i for i in expected if i - 1 in expected and grams[i] == grams[i - 1]} if n else set()
         assert set(passages.anchors(grams, rows, 10, 50).tolist()) == expected
+
+
+def test_passages_inside_lines_are_whole(spark):
+    """Every word of a copied passage is reported and removed, between stretches and at both ends, and no other word is."""
+    shared = [prose(n, "de") for n in (51, 60, 75, 100, 200, 400)]
+    rows = [(10 * i + j, f"é{prose(35 + 5 * j)} x{i}{j}a {s.upper().replace("Ü", "ü") if j == 2 else s} y{i}{j}b {prose(31 + 7 * j)}") for i, s in enumerate(shared) for j in range(3)]
+    rows += [(200, f"{prose(40)} xa {shared[3]} {prose(60)} ya {shared[3]} yb {prose(40)}"), (201, f"{shared[4]} {shared[4]} {shared[4]}")]
+    texts = dict(rows)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), span=50)
+    found = {(r.doc_id, r.start, r.length): r for r in got.collect()}
+    for i, s in enumerate(shared):
+        lead = texts[10 * i].index(s)
+        assert not found[10 * i, lead, len(s)].removed
+        for j in (1, 2):
+            r = found[10 * i + j, texts[10 * i + j].lower().index(s), len(s)]
+            assert r.removed and (r.class_doc, r.class_start, r.n_words) == (10 * i, lead, len(s.split()))
+    bare = {r.doc_id: r.text for r in passages.without_passages(spark.createDataFrame(rows, "doc_id long, text string"), got).collect()}
+    for i, s in enumerate(shared):
+        assert bare[10 * i] == texts[10 * i]
+        for j in (1, 2):
+            at = texts[10 * i + j].lower().index(s)
+            assert bare[10 * i + j] == texts[10 * i + j][:at] + texts[10 * i + j][at + len(s):]
+    assert bare[200] == texts[200].replace(shared[3], "") and not bare[201].split()
