@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lotmill import rules
 from lotmill.functions.numeric import known
+from lotmill.operators.copies import number_copies
 from lotmill.operators.order_stats import ROWS_PER_BUCKET, quantile_columns, ranked_values
 
 # tasks get the functions of this module by value, so executors need no copy of the package
@@ -59,10 +60,12 @@ def fit_trees(df: DataFrame, columns: Sequence[str], rows: int, trees: int = 100
     """One bounded random sample per tree; trees are grown in parallel."""
     take = min(SAMPLE, rows)
     limit = max(1, math.ceil(math.log2(max(take, 2))))
-    # contents decide, by one rule at every size: which trees a row may enter, and its place in their samples
+    # content and copy number decide, by one rule at every size: which trees a row may enter, and its place in their samples
+    row = [*columns, "_copy"]
     share = min(1.0, 4.0 * SAMPLE / max(rows, 1))
-    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(*columns, t, F.lit(seed)), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    drawn = df.select(*columns, F.explode(mine).alias("tree")).withColumn("u", F.xxhash64(*columns, "tree", F.lit(seed + 1)))
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(*row, t, F.lit(seed)), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
+    drawn = number_copies(df.select(*columns), "_copy").select(*row, F.explode(mine).alias("tree"))
+    drawn = drawn.select(*columns, "tree", F.xxhash64(*row, "tree", F.lit(seed + 1)).alias("u"))
     width = len(columns)
 
     def grow(rows_of_tree: pd.DataFrame) -> pd.DataFrame:

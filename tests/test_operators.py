@@ -191,3 +191,15 @@ def test_isolation_trees_do_not_depend_on_partitions(spark):
     df = spark.createDataFrame([(float(i % 97), float(i % 31)) for i in range(3000)], "a double, b double")
     one, two = (forest.fit_trees(df.repartition(n), ["a", "b"], 3000, trees=5) for n in (2, 4))
     assert [r["threshold"] for r in one] == [r["threshold"] for r in two]
+
+
+def test_isolation_trees_draw_rows_and_not_contents(spark):
+    """Every tree sees a content that a third of the rows have, and few contents still grow all trees."""
+    from lotmill.operators import forest
+
+    hot = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 1000.0D ELSE CAST(id AS double) / 60000 END AS a", "CAST(id % 3 AS double) AS b")
+    trees = forest.fit_trees(hot, ["a", "b"], 60_000, trees=20)
+    assert len(trees) == 20 and all(any(f == 0 and t > 1.0 or f == 1 and t < 1.0 for f, t in zip(r["feature"], r["threshold"])) for r in trees)
+    few = spark.range(200_000).selectExpr("CAST(id % 20 AS double) AS a", "CAST(id % 4 AS double) AS b")
+    trees = forest.fit_trees(few, ["a", "b"], 200_000, trees=20)
+    assert [r["tree"] for r in trees] == list(range(20)) and all(max(r["feature"]) >= 0 for r in trees)
