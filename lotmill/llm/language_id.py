@@ -18,8 +18,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_CHARS = 16_000  # characters learned per language
-SAMPLE_TEXTS = 64  # texts looked at per language; longer ones than an eighth of SAMPLE_CHARS are not used
+SAMPLE_CHARS = 16_000  # letters learned per language
+SHARE = SAMPLE_CHARS // 8  # characters taken of one text
+SAMPLE_TEXTS = 64  # texts looked at per language at first; eight times as many while they hold too few letters
 PIECE = 8_192
 BATCH = 8 << 20  # characters parsed side by side
 
@@ -156,20 +157,34 @@ _parsers: dict[int, Parser] = {}
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> dict[str, str]:
-    """A text sample per language of ``labelled``: at most SAMPLE_TEXTS texts in the order of a seeded hash of the id,
-    joined until SAMPLE_CHARS are reached. Rows with a null language, id or text are not used. The result grows with
+    """A text sample per language of ``labelled``, from texts of any length: the SHARE characters from the first letter on of
+    one text after the other, in the order of a seeded hash of the id, until SAMPLE_CHARS letters are reached.
+    Equal pieces count once. Rows with a null language, id or text, or without a letter, are not used. The result grows with
     the number of languages only."""
-    short = F.length(text_col).between(1, SAMPLE_CHARS // 8)
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & short)
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"))
-    chosen = ids.withColumn("r", F.row_number().over(order)).where(f"r <= {SAMPLE_TEXTS}").select("id").distinct()
-    chosen = sorted(r["id"] for r in chosen.collect())
+    spark = labelled.sparkSession
+    piece = F.regexp_extract(text_col, rf"(?s)\p{{L}}.{{0,{SHARE - 1}}}", 0)
+    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"), piece.alias("piece")).where("piece <> ''")
+    rows = rows.withColumn("p", F.xxhash64("piece"))
+    letters = F.length(F.regexp_replace("piece", r"\P{L}+", ""))
+    pieces = rows.select("lang", "p", "h", letters.alias("n")).groupBy("lang", "p").agg(F.min("h").alias("h"), F.min("n").alias("n"))
+    order = Window.partitionBy("lang").orderBy("h", "p")
+    most = SAMPLE_TEXTS
+    while True:  # every piece has a letter, so SAMPLE_CHARS of them are always enough
+        first = pieces.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)
+        first = first.withColumn("upto", F.sum("n").over(order)).where(F.col("upto") - F.col("n") < SAMPLE_CHARS)
+        chosen = first.select("lang", "p", "h", "r", "upto").collect()
+        if most >= SAMPLE_CHARS or not any(c["r"] == most and c["upto"] < SAMPLE_CHARS for c in chosen):
+            break
+        most = min(8 * most, SAMPLE_CHARS)
+    if not chosen:
+        return {}
+    wanted = spark.createDataFrame([(c["lang"], c["p"]) for c in chosen], rows.select("lang", "p").schema)
+    found = rows.join(F.broadcast(wanted), ["lang", "p"]).groupBy("lang", "p").agg(F.min("piece").alias("piece")).collect()  # a bounded sample
+    place = {(c["lang"], c["p"]): (c["h"], c["p"]) for c in chosen}
     texts: dict[str, str] = {}
-    found = rows.where(F.col(id_col).isin(chosen)).select(lang_col, F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"), id_col, text_col).collect()
-    for lang, _, _, text in sorted(found):
-        if len(texts.get(lang, "")) < SAMPLE_CHARS:
-            texts[lang] = texts.get(lang, "") + " " + text
+    for row in sorted(found, key=lambda r: place[r["lang"], r["p"]]):
+        texts[row["lang"]] = texts.get(row["lang"], "") + " " + row["piece"]
     return texts
 
 

@@ -420,3 +420,18 @@ def test_near_passages_inside_lines_are_found(spark):
     for i, s in enumerate(shared):
         assert bare[2 * i] == rows[2 * i][1]
         assert 118 <= len(bare[2 * i + 1].split()) <= 124 and not any(" ".join(s[at:at + 4]) in bare[2 * i + 1] for at in (0, 14, 29, 34, 50, 63, 68, 80, 96))
+
+
+def test_language_sample_takes_long_texts_and_skips_junk(spark):
+    rows = [(i, "12 — " + prose(1_500, "de"), "de") for i in range(3)]  # all longer than a share
+    rows += [(100 + i, "12 34", "en") for i in range(300)] + [(500 + i, "word", "en") for i in range(300)] + [(900, prose(1), "en")] * 300
+    rows += [(1_000 + i, prose(60), "en") for i in range(150)]
+    rows += [(2_000 + i, chr(0x3B1 + i % 24) + chr(0x3B1 + i // 24), "el") for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language_id.learn(frame)
+    assert samples == language_id.learn(frame.repartition(5)) and set(samples) == {"de", "en", "el"}
+    letters = {lang: sum(c.isalpha() for c in text) for lang, text in samples.items()}
+    assert letters["de"] > 3 * 1_000 and len(samples["de"]) == 3 * (language_id.SHARE + 1)
+    assert letters["en"] >= language_id.SAMPLE_CHARS and samples["en"].split().count("word") == 1 and letters["el"] == 1_000
+    long = spark.createDataFrame([(1, prose(2_000, "de")), (2, prose(50))], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(long, samples).collect()} == {1: "de", 2: "en"}
