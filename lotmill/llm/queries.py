@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotmill.llm import decontaminate, language_id, mixing, neighbours, passages, pseudonyms, quality, shingle_join, token_counts, toxicity
+from lotmill.llm import (
+    byte_pairs, collocations, decontaminate, language_id, mixing, neighbours, passages, pseudonyms, quality, ranked_search, shingle_join, token_counts, toxicity,
+)
 from lotmill.llm.common import fold, table
 
 QUERIES = {}
@@ -79,3 +81,27 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"), span=passages.SPAN)
+
+
+@query
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    decoded = byte_pairs.decode(encoded, ranks, pattern)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_collocations"] = collocations.ORACLE
+ORACLES["op13_ranked_search"] = ranked_search.ORACLE
