@@ -5,21 +5,22 @@ windows are counted; ROLLUP over their word columns then sums them to all shorte
 a place are the prefixes of its window. The lead columns are shifted copies of a piece's own word array, so no word is
 shuffled to find its successors.
 
-A phrase can be frequent only if all its neighbouring pairs are. Pairs are counted first by a hash of fixed range
-(several pairs may share a count, so a count below the limit proves that all of them are rare), and windows are padded
-from the first rare pair on. That changes no count of a frequent phrase and keeps most windows to one word. The map of
-frequent counts has a fixed largest size, whatever the data; where nearly all counts are frequent it only saves less.
+A phrase can be frequent only if all its runs of two and three words are. Such runs are counted first by a hash of
+fixed range (several runs may share a count, so a count below the limit proves that all of them are rare): pairs, then
+the triples whose pairs may be frequent. Windows are padded from the first rare run on. That changes no count of a
+frequent phrase and keeps most windows to one word. The maps of frequent counts have a largest size that does not depend
+on the data; where nearly all counts are frequent they only save less.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotmill.llm.common import written
 
 WORDS = 5
-PAIR_COUNTS = 1 << 23  # hash range of the pair counts; the map of frequent ones is at most 1/64 as many rows of two numbers
+COUNTS = 1 << 24, 1 << 28  # least and largest hash range; a map of frequent counts has at most 1/64 as many rows of two numbers
 _ENDS = r"[.,;:!?\x0A-\x0D]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -39,52 +40,73 @@ def _leads(rows: DataFrame, n: int) -> DataFrame:
     return rows.select("lang", *[F.col("w")[f"w{k}"].alias(f"w{k}") for k in range(1, n + 1)])
 
 
-def _place(a: str, b: str, counts: int) -> Column:
-    return F.pmod(F.xxhash64("lang", a, b), F.lit(counts))
+def hash_range(docs: DataFrame, text_col: str = "text") -> int:
+    """A count for about sixteen words of text, as a power of two within COUNTS."""
+    letters = docs.agg(F.sum(F.length(F.col(text_col).cast("string")))).first()[0] or 0
+    return min(max(1 << (letters // 96).bit_length(), COUNTS[0]), COUNTS[1])
 
 
-def frequent_pairs(rows: DataFrame, least: int, counts: int = PAIR_COUNTS) -> DataFrame:
-    """(block, bits): 64 hash counts a row, a bit set where the count reaches ``least``; at most counts / 64 rows."""
-    pairs = _leads(rows, 2).where("w2 IS NOT NULL").groupBy(_place("w1", "w2", counts).cast("int").alias("place")).agg(F.count(F.lit(1)).alias("n"))
-    return pairs.where(F.col("n") >= least).groupBy(F.expr("cast(place div 64 AS int)").alias("block")).agg(
-        F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits"))
+def _place(words: list[str], counts: int) -> Column:
+    return F.pmod(F.xxhash64("lang", *words), F.lit(counts)).cast("int")
 
 
-def windows(rows: DataFrame, frequent: DataFrame, counts: int = PAIR_COUNTS, n: int = WORDS) -> DataFrame:
-    """(lang, w1 to w<n>): one padded window per word occurrence, cut at the first pair that is proven rare."""
-    out = _leads(rows, n).withColumns({f"p{k}": _place(f"w{k - 1}", f"w{k}", counts).cast("int") for k in range(2, n + 1)})
+def _looked_up(rows: DataFrame, frequent: DataFrame, place: str, how: str) -> DataFrame:
+    """Adds the bits of the block of ``place``; a null place has none."""
+    named = F.broadcast(frequent.select(F.col("block").alias(f"{place}_block"), F.col("bits").alias(f"{place}_bits")))
+    return rows.join(named, F.expr(f"{place} div 64") == F.col(f"{place}_block"), how)
+
+
+def _is_set(place: str) -> Column:
+    return F.coalesce(F.expr(f"shiftright({place}_bits, {place} % 64) & 1") == 1, F.lit(False))
+
+
+def frequent_runs(rows: DataFrame, least: int, counts: int, pairs: DataFrame | None = None) -> DataFrame:
+    """(block, bits): 64 hash counts a row, a bit set where the count reaches ``least``; at most counts / 64 rows.
+
+    Counts pairs of words or, given the map of the pairs, triples whose two pairs may be frequent.
+    """
+    words = ["w1", "w2"] if pairs is None else ["w1", "w2", "w3"]
+    runs = _leads(rows, len(words)).where(f"{words[-1]} IS NOT NULL")
+    if pairs is not None:
+        for i in (0, 1):
+            runs = _looked_up(runs.withColumn(f"p{i}", _place(words[i:i + 2], counts)), pairs, f"p{i}", "inner").where(_is_set(f"p{i}"))
+    found = runs.groupBy(_place(words, counts).alias("place")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return found.groupBy(F.expr("cast(place div 64 AS int)").alias("block")).agg(F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits"))
+
+
+def windows(rows: DataFrame, pairs: DataFrame, triples: DataFrame, counts: int, n: int = WORDS) -> DataFrame:
+    """(lang, w1 to w<n>): one padded window per word occurrence, cut at the first run that is proven rare."""
+    out = _leads(rows, n)
     for k in range(2, n + 1):
-        named = F.broadcast(frequent.select(F.col("block").alias(f"b{k}"), F.col("bits").alias(f"bits{k}")))
-        out = out.join(named, F.expr(f"p{k} div 64") == F.col(f"b{k}"), "left")
-        here = F.col(f"w{k}").isNotNull() & F.coalesce(F.expr(f"shiftright(bits{k}, p{k} % 64) & 1") == 1, F.lit(False))
-        before = F.col(f"w{k - 1}").isNotNull()  # already cut
-        out = out.withColumn(f"w{k}", F.when(before & here, F.col(f"w{k}")))
+        run = [f"w{i}" for i in range(max(1, k - 2), k + 1)]
+        known = F.col(run[-1]).isNotNull() & F.col(run[-2]).isNotNull()  # null from an earlier cut on
+        out = _looked_up(out.withColumn(f"p{k}", F.when(known, _place(run, counts))), pairs if k == 2 else triples, f"p{k}", "left")
+        out = out.withColumn(f"w{k}", F.when(_is_set(f"p{k}"), F.col(f"w{k}")))
     return out.select("lang", *[f"w{k}" for k in range(1, n + 1)])
 
 
-def phrase_counts(rows: DataFrame, least: int, counts: int = PAIR_COUNTS, n: int = WORDS) -> DataFrame:
+def phrase_counts(rows: DataFrame, least: int, counts: int, n: int = WORDS) -> DataFrame:
     """(lang, words, f): all phrases of up to ``n`` words with f >= ``least``, and per language the total as the empty phrase."""
-    frequent = written(frequent_pairs(rows, least, counts), "frequent_pairs")
+    pairs = written(frequent_runs(rows, least, counts), "frequent_pairs")
+    triples = written(frequent_runs(rows, least, counts, pairs), "frequent_triples")
     columns = [f"w{k}" for k in range(1, n + 1)]
-    longest = windows(rows, frequent, counts, n).groupBy("lang", *columns).agg(F.count(F.lit(1)).alias("c"))
+    longest = windows(rows, pairs, triples, counts, n).groupBy("lang", *columns).agg(F.count(F.lit(1)).alias("c"))
     summed = longest.rollup("lang", *columns).agg(F.sum("c").alias("f"), F.grouping_id().alias("g"))
     # level k keeps k word columns: its last n - k bits are set; a null in the k-th column there is padding, not a phrase
     level = F.lit(n) - F.bit_count("g")
-    whole = F.array(*columns)
-    phrase = F.slice(whole, F.lit(1), level)
-    full = F.array_position(F.array(*[F.when(F.col(c).isNull(), 1).otherwise(0) for c in columns]), 1)
+    padded = F.array_position(F.array(*[F.when(F.col(c).isNull(), 1).otherwise(0) for c in columns]), 1)
     kept = summed.where(F.col("g") < (1 << n)).withColumn("level", level).where(
-        (F.col("level") == 0) | ((F.col("f") >= least) & ((full == 0) | (full > F.col("level")))))
-    return kept.select("lang", phrase.alias("words"), "f")
+        (F.col("level") == 0) | ((F.col("f") >= least) & ((padded == 0) | (padded > F.col("level")))))
+    return kept.select("lang", F.slice(F.array(*columns), F.lit(1), F.col("level")).alias("words"), "f")
 
 
-def collocations(docs: DataFrame, least: int = 100, top: int = 2000, counts: int = PAIR_COUNTS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def collocations(docs: DataFrame, least: int = 100, top: int = 2000, counts: int | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The best ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
     Empty tables and texts without words give no row; repeated documents count as often; a null language is ``und``; equal
-    scores are ordered by count, then phrase. Other columns are ignored, whatever their names.
+    scores are ordered by count, then phrase. ``counts`` (a multiple of 64) is the hash range; it changes the work, not the rows. Other columns are ignored, whatever their names.
     """
-    found = written(phrase_counts(pieces(docs, text_col, lang_col), least, counts), "phrases")
+    found = written(phrase_counts(pieces(docs, text_col, lang_col), least, counts or hash_range(docs, text_col)), "phrases")
     totals = found.where("size(words) = 0").select("lang", F.col("f").alias("n"))
     known = found.where("size(words) > 0").select("lang", F.array_join("words", " ").alias("phrase"), "f", "words")
     candidates = known.where("size(words) > 1")
@@ -103,8 +125,6 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, counts: int
     wide = lambda c: f"cast({c} AS decimal(19,0))"
     cuts = cuts.withColumn("score", F.expr(f"(1000 * {wide('a')} * {wide('n')}) div ({wide('l')} * {wide('r')})"))
     best = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("b"))
-    from pyspark.sql import Window
-
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = best.select("lang", "phrase", "a", "n", "b.score", "b.l", "b.r").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
