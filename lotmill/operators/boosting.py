@@ -67,7 +67,7 @@ def gradients(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _histograms(state: DataFrame, trees: list[Tree], open_nodes: list[np.ndarray], level: int, width: int, bins: int, salt: int, share: float) -> DataFrame:
-    """(slot, g, h): sums per open node (slots count class, node, feature, bin), combined in the tasks first."""
+    """(place, feature, bin, g, h): sums per open node, combined in the tasks first."""
     places = []
     for nodes in open_nodes:
         place = np.full(2 << level, -1, np.int64)
@@ -101,19 +101,21 @@ def _histograms(state: DataFrame, trees: list[Tree], open_nodes: list[np.ndarray
                 for sums, part in ((sums_g, g[there, c]), (sums_h, h[there, c])):
                     sums[slot[first]] += np.add.reduceat(np.repeat(part, width)[order], first)
         kept = np.flatnonzero(sums_h)
-        yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(sums_g[kept]), pa.array(sums_h[kept])], names=["slot", "g", "h"])
+        place, feature, at = kept // (width * bins), kept // bins % width, kept % bins
+        yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(feature.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(sums_g[kept]), pa.array(sums_h[kept])],
+                                         names=["place", "feature", "bin", "g", "h"])
 
-    found = state.mapInArrow(run, "slot long, g long, h long")
-    return found.groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    # a task has each slot once, so combining again before the shuffle saves nothing; one shuffle serves the sums and the windows
+    found = state.mapInArrow(run, "place int, feature int, bin int, g long, h long").repartition("place", "feature")
+    return found.groupBy("place", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
-def best_splits(sums: DataFrame, width: int, bins: int, reg: float, least_weight: float) -> DataFrame:
+def best_splits(sums: DataFrame, reg: float, least_weight: float) -> DataFrame:
     """Best split per node, or totals only: (place, g, h, feature, bin, missing_left, gain, gl, hl).
 
     Ties go to the smaller feature, then the smaller bin, then to missing values on the right.
     """
-    slots = sums.select((F.col("slot") % bins).cast("int").alias("bin"), F.expr(f"cast(slot div {bins} % {width} AS int)").alias("feature"),
-                        F.expr(f"cast(slot div {bins * width} AS int)").alias("place"),
+    slots = sums.select("place", "feature", "bin",
                         (F.col("g") / F.lit(float(SCALE))).alias("g"), (F.col("h") / F.lit(float(SCALE))).alias("h"))
     side = Window.partitionBy("place", "feature")  # at most 256 rows
     upto = side.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -188,7 +190,7 @@ def grow(df: DataFrame, features: str, label: str, rounds: int, depth: int, rate
             if not begins[-1]:
                 break
             sums = _histograms(state, trees, open_nodes, level, width, bins, seed * 1_000_003 + number, subsample)
-            found = {r["place"]: r for r in best_splits(sums, width, bins, reg, least_weight).collect()}  # one row per open node
+            found = {r["place"]: r for r in best_splits(sums, reg, least_weight).collect()}  # one row per open node
             following = []
             for c, (tree, nodes) in enumerate(zip(trees, open_nodes)):
                 opened = []

@@ -116,10 +116,9 @@ def _passes(state: DataFrame, forest: _Forest, nodes: list[Node], width: int, ki
 
 
 def _summed(state: DataFrame, run, size: int) -> np.ndarray:
-    found = state.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()  # CELLS rows at most
+    found = state.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
     out = np.zeros(size, np.int64)
-    for r in found:
-        out[r["slot"]] = r["n"]
+    out[found["slot"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
@@ -147,8 +146,9 @@ def _ranges(state, forest, nodes, width) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(low.ravel()[at]), pa.array(high.ravel()[at])], names=["slot", "low", "high"])
 
     low, high = np.zeros(len(nodes) * width), np.zeros(len(nodes) * width)
-    for r in state.mapInArrow(run, "slot long, low double, high double").groupBy("slot").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect():
-        low[r["slot"]], high[r["slot"]] = r["low"], r["high"]
+    found = state.mapInArrow(run, "slot long, low double, high double").groupBy("slot").agg(F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
+    at = found["slot"].to_numpy()
+    low[at], high[at] = found["low"].to_numpy(), found["high"].to_numpy()
     return low.reshape(-1, width), high.reshape(-1, width)
 
 
@@ -322,12 +322,31 @@ class ClassTreesModel(Model, _TreeParams, MLReadable, MLWritable):
         self._defaults()
         self.table = table
 
-    def _transform(self, df: DataFrame) -> DataFrame:
+    def _by_tree(self) -> list[list]:
+        """Node rows of each tree, by node number."""
         by_tree: dict[int, list] = {}
         for r in sorted(self.table.collect(), key=lambda r: (r["tree"], r["node"])):
             by_tree.setdefault(r["tree"], []).append(r)
+        return list(by_tree.values())
+
+    def importances(self, names) -> DataFrame:
+        """(feature, score): decrease of impurity by a feature's splits, scaled to sum 1 per tree, mean of the trees with a split."""
+        found = np.zeros((0, len(names)))
+        for rows in self._by_tree():
+            counts = np.array([r["counts"] for r in rows])
+            loss = counts.sum(axis=1) * impurity(counts, self.getOrDefault("criterion"))
+            here = np.zeros(len(names))
+            for i, r in enumerate(rows):
+                if r["feature"] >= 0:
+                    here[r["feature"]] += loss[i] - loss[r["left"]] - loss[r["right"]]
+            if here.sum() > 0:
+                found = np.vstack([found, here / here.sum()])
+        means = found.mean(axis=0) if len(found) else np.zeros(len(names))
+        return self.table.sparkSession.createDataFrame([(n, float(v)) for n, v in zip(names, means)], "feature string, score double")
+
+    def _transform(self, df: DataFrame) -> DataFrame:
         trees = []
-        for rows in by_tree.values():
+        for rows in self._by_tree():
             counts = np.array([r["counts"] for r in rows])
             trees.append((np.array([r["feature"] for r in rows]), np.array([r["cut"] for r in rows]), np.array([[r["left"], r["right"]] for r in rows]),
                           counts / np.maximum(counts.sum(axis=1, keepdims=True), 1.0)))

@@ -35,8 +35,8 @@ def _sums(rows: DataFrame, part, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["slot", "v"])
 
     out = np.zeros(size)
-    for r in rows.mapInArrow(run, "slot long, v double").groupBy("slot").agg(F.sum("v").alias("v")).collect():
-        out[r["slot"]] = r["v"]
+    found = rows.mapInArrow(run, "slot long, v double").groupBy("slot").agg(F.sum("v").alias("v")).toArrow()  # features squared, per class
+    out[found["slot"].to_numpy()] = found["v"].to_numpy()
     return out
 
 

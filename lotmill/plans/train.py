@@ -1,4 +1,4 @@
-"""Preparation, parameter search, training and evaluation of the tier classifiers on Spark ML."""
+"""Preparation, parameter search, training and evaluation of the tier classifiers as Spark ML pipelines."""
 
 from __future__ import annotations
 
@@ -10,9 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +18,11 @@ from pyspark.sql import functions as F
 from lotmill import rules
 from lotmill.functions.numeric import tier_code
 from lotmill.operators import metrics
+from lotmill.operators.boosting import BoostedTrees
+from lotmill.operators.class_trees import ClassTrees
 from lotmill.operators.encode import CATEGORIES, feature_columns, feature_stages
-from lotmill.operators.sampling import stratified_split, undersample
+from lotmill.operators.linear import SquaredHingeSVM
+from lotmill.operators.sampling import stratified_folds, stratified_split, undersample
 from lotmill.operators.selection import FeatureSelector
 from lotmill.operators.smote import smote
 
@@ -33,6 +34,12 @@ class Prepared:
     data: DataFrame
     features: list[str]
     stages: PipelineModel
+    kept: Sequence[DataFrame] = ()
+
+    def release(self) -> None:
+        """Frees the kept rows; ``data`` stays usable."""
+        for df in self.kept:
+            df.unpersist()
 
     def part(self, name: str) -> DataFrame:
         return self.data.where(F.col("split") == name)
@@ -48,8 +55,8 @@ def prepare(df: DataFrame, current_year: int, target: str = "price_tier", drop:
     split = stratified_split(labelled, "label", test_size, val_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     source = split if fit_on == "all" else split.where(F.col("split") == fit_on)
     stages = Pipeline(stages=feature_stages(current_year, [c for c in CATEGORIES if c in df.columns])).fit(source)
-    data = stages.transform(split).withColumn("label", F.col("label").cast("double"))
-    return Prepared(data, feature_columns(data), stages)
+    data = stages.transform(split).withColumn("label", F.col("label").cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
+    return Prepared(data, feature_columns(data), stages, (data, split))
 
 
 def resampled(train: DataFrame, features: Sequence[str], seed: int = 42, kinds: Sequence[str] = ("none", "smote", "undersample")) -> dict[str, DataFrame]:
@@ -61,28 +68,32 @@ def resampled(train: DataFrame, features: Sequence[str], seed: int = 42, kinds:
 
 @dataclass
 class Config:
-    """An estimator factory, its parameter grid, and how many points of the grid to try."""
+    """An estimator factory, its parameter grid, and how many points of the grid to try.
+
+    With ``fill`` missing features become 0; without it the estimator sees them as NaN.
+    """
 
     make: object
     grid: Mapping[str, Sequence] = field(default_factory=dict)
     tries: int = 10
     scale: bool = False
+    fill: bool = True
+
+
+DEEPEST = 30  # levels of a tree without a depth limit
 
 
-def _logspace(lo: float, hi: float, n: int) -> list[float]:
-    return [10 ** (lo + (hi - lo) * i / (n - 1)) for i in range(n)]
+def _forest(p, rows):
+    return RandomForestClassifier(featuresCol="features", labelCol="label", seed=42, numTrees=p["trees"],
+                                  maxDepth=min(p["depth"] or DEEPEST, DEEPEST), minInstancesPerNode=max(1, p["min_split"] // 2))
 
 
-def _forest(bootstrap: bool):
-    def make(p, rows):
-        return RandomForestClassifier(featuresCol="features", labelCol="label", seed=42, bootstrap=bootstrap, numTrees=p["trees"],
-                                      maxDepth=min(p["depth"] or 30, 30), minInstancesPerNode=max(1, p["min_split"] // 2))
-    return make
+def _extra_trees(p, rows):
+    return ClassTrees(trees=p["trees"], depth=p["depth"] or DEEPEST, minSplit=p["min_split"], maxFeatures="sqrt", randomCuts=True)
 
 
 def _tree(p, rows):
-    return DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42, maxDepth=min(p["depth"] or 30, 30),
-                                  minInstancesPerNode=max(p["min_leaf"], p["min_split"] // 2), impurity=p["criterion"])
+    return ClassTrees(depth=p["depth"] or DEEPEST, minSplit=p["min_split"], minLeaf=p["min_leaf"], criterion=p["criterion"], maxFeatures=p["max_features"] or "all")
 
 
 def _logistic(p, rows):
@@ -90,25 +101,26 @@ def _logistic(p, rows):
 
 
 def _svm(p, rows):
+    if p["loss"] == "squared_hinge":
+        return SquaredHingeSVM(C=p["C"])
     return OneVsRest(featuresCol="features", labelCol="label", classifier=LinearSVC(maxIter=100, regParam=1.0 / (p["C"] * max(rows, 1))))
 
 
 def _boosted(p, rows):
-    one = GBTClassifier(maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["rate"], subsamplingRate=p["subsample"], seed=42)
-    return OneVsRest(featuresCol="features", labelCol="label", classifier=one)
+    return BoostedTrees(rounds=p["rounds"], depth=p["depth"], rate=p["rate"], subsample=p["subsample"])
 
 
 def model_configs() -> dict[str, Config]:
-    """The seven classifiers with their grids; ``None`` as depth means the deepest tree Spark ML grows."""
-    forest = {"trees": [100, 200, 300], "min_split": [2, 5, 10]}
+    """The seven classifiers with their grids; ``None`` as depth means DEEPEST levels."""
+    grids = rules.PARAMETER_GRIDS
     return {
-        "baseline": Config(None, {}, 1),
-        "random_forest": Config(_forest(True), {**forest, "depth": [None, 10, 20, 30]}),
-        "extra_trees": Config(_forest(False), {**forest, "depth": [None, 10, 20]}),
-        "log_reg": Config(_logistic, {"C": _logspace(-2, 1, 5)}, 5, scale=True),
-        "decision_tree": Config(_tree, {"depth": [None, 5, 10, 20, 30], "min_split": [2, 5, 10, 20], "min_leaf": [1, 2, 4, 8], "criterion": ["gini", "entropy"]}),
-        "linear_svm": Config(_svm, {"C": _logspace(-3, 2, 6)}, 6, scale=True),
-        "boosted_trees": Config(_boosted, {"rounds": [200, 300, 500], "depth": [4, 6, 8], "rate": [0.01, 0.05, 0.1], "subsample": [0.8, 1.0]}),
+        "baseline": Config(None, grids["baseline"], 1),
+        "random_forest": Config(_forest, grids["random_forest"]),
+        "extra_trees": Config(_extra_trees, grids["extra_trees"]),
+        "log_reg": Config(_logistic, grids["log_reg"], 5, scale=True),
+        "decision_tree": Config(_tree, grids["decision_tree"]),
+        "linear_svm": Config(_svm, grids["linear_svm"], scale=True),
+        "boosted_trees": Config(_boosted, grids["boosted_trees"], fill=False),
     }
 
 
@@ -124,10 +136,11 @@ def majority_class(df: DataFrame, label: str = "label") -> float:
     return row[label]
 
 
-def assembled(features: Sequence[str], estimator, scale: bool = False) -> Pipeline:
-    """Fill with 0, assemble, scale and fit; the fill is a stage, so a saved model scores nulls as it was tested."""
+def assembled(features: Sequence[str], estimator, scale: bool = False, fill: bool = True) -> Pipeline:
+    """Fill with 0 (or NaN), assemble, scale and fit; the fill is a stage, so a saved model scores nulls as it was tested."""
     raw = "raw_features" if scale else "features"
-    filled = ", ".join(f"nanvl(coalesce(cast(`{c}` AS double), 0D), 0D) AS `_filled_{i}`" for i, c in enumerate(features))
+    number = "nanvl(coalesce(cast(`{}` AS double), 0D), 0D)" if fill else "coalesce(cast(`{}` AS double), double('NaN'))"
+    filled = ", ".join(f"{number.format(c)} AS `_filled_{i}`" for i, c in enumerate(features))
     stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
               VectorAssembler(inputCols=[f"_filled_{i}" for i in range(len(features))], outputCol=raw, handleInvalid="keep")]
     if scale:
@@ -153,7 +166,7 @@ def train_one(name: str, dataset: str, train: DataFrame, val: DataFrame, test: D
     rows = train.count()
 
     def attempt(params):
-        model = assembled(features, config.make(params, rows), config.scale).fit(train)
+        model = assembled(features, config.make(params, rows), config.scale, config.fill).fit(train)
         return scores(model.transform(val))["macro_f1"], model
 
     points = draw_parameters(config.grid, config.tries, seed)
@@ -162,6 +175,7 @@ def train_one(name: str, dataset: str, train: DataFrame, val: DataFrame, test: D
     best = max(range(len(points)), key=lambda i: (attempts[i][0], -i))
     val_f1, model = attempts[best]
     result = _result(name, dataset, points[best], val_f1, scores(model.transform(test)))
+    result["attempts"] = [(p, f1) for p, (f1, _) in zip(points, attempts)]
     for part in (train, val, test):
         part.unpersist()
     return result, model
@@ -180,10 +194,10 @@ RESULT_SCHEMA = ("model string, dataset string, val_f1 double, test_f1 double, t
 
 def train_all(df: DataFrame, current_year: int, models: Sequence[str] | None = None, datasets: Sequence[str] = ("none", "smote", "undersample"),
               configs: Mapping[str, Config] | None = None, selector: FeatureSelector | None = None, log_path: str | None = None,
-              parallelism: int = 2) -> DataFrame:
+              parallelism: int = 2, attempts: list | None = None) -> DataFrame:
     """Every model on every dataset variant; one result row each, best test F1 first.
 
-    With ``log_path`` each run appends its parameters and metrics to ``<log_path>/runs`` and saves
+    ``attempts`` collects every point tried: model, dataset, parameters, validation score. With ``log_path`` each run appends its parameters and metrics to ``<log_path>/runs`` and saves
     its model (with the feature stages) under ``<log_path>/models/<model>_<dataset>``.
     """
     from lotmill.sources.tables import append_run
@@ -199,15 +213,37 @@ def train_all(df: DataFrame, current_year: int, models: Sequence[str] | None = N
         for dataset, rows in variants.items():
             result, model = train_one(name, dataset, rows, prepared.part("val"), prepared.part("test"), features, configs[name], parallelism)
             results.append(result)
+            if attempts is not None:
+                attempts += [(name, dataset, {k: str(v) for k, v in p.items()}, f1) for p, f1 in result.get("attempts", [])]
             if log_path:
                 append_run(df.sparkSession, f"{log_path}/runs", result)
                 if model is not None:
                     whole = PipelineModel(stages=[*prepared.stages.stages, *model.stages])
                     whole.write().overwrite().save(f"{log_path}/models/{name}_{dataset}")
+    prepared.release()
     rows = [{**r, "best_params": {k: str(v) for k, v in r["best_params"].items()}} for r in results]
     names = [c.split()[0] for c in RESULT_SCHEMA.split(", ")]
     table = df.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in rows], RESULT_SCHEMA)
     return table.orderBy(F.desc("test_f1"), "model", "dataset")
 
 
+def cross_validate(df: DataFrame, features: Sequence[str], config: Config, params: Mapping, label: str = "label", folds: int = 5, seed: int = 42,
+                   unique_key: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with ``fold`` and ``prediction``: every row is scored once, by the model that was fitted without its fold.
+
+    Score the pooled rows once with :func:`scores`. Folds are stratified; rows without a label are left out.
+    """
+    dealt = stratified_folds(df, label, folds, seed, unique_key).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["fold"]: r["count"] for r in dealt.groupBy("fold").count().collect()}
+    out = None
+    for fold in sorted(sizes):
+        numbers = dealt.where(F.col("fold") != fold).select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], F.col(label).cast("double").alias("label"))
+        model = assembled(features, config.make(params, sum(sizes.values()) - sizes[fold]), config.scale, config.fill).fit(numbers)
+        scored = model.transform(dealt.where(F.col("fold") == fold)).select(*[F.col(f"`{c}`") for c in dealt.columns], "prediction")
+        out = scored if out is None else out.unionByName(scored)
+    if out is None:
+        return dealt.withColumn("prediction", F.lit(None).cast("double"))
+    return out
+
+
 TIER_NAMES = {code: tier for tier, code in rules.TIER_CODES.items()}

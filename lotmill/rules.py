@@ -162,6 +162,19 @@ WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+# Parameter values that the search of each classifier tries; None as depth is an unlimited tree.
+PARAMETER_GRIDS = {
+    "baseline": {},
+    "random_forest": {"trees": [100, 200, 300], "depth": [None, 10, 20, 30], "min_split": [2, 5, 10]},
+    "extra_trees": {"trees": [100, 200, 300], "depth": [None, 10, 20], "min_split": [2, 5, 10]},
+    "log_reg": {"C": [10 ** (-2 + 3 * i / 4) for i in range(5)]},
+    "decision_tree": {
+        "depth": [None, 5, 10, 20, 30], "min_split": [2, 5, 10, 20], "min_leaf": [1, 2, 4, 8],
+        "criterion": ["gini", "entropy"], "max_features": [None, "sqrt", "log2"],
+    },
+    "linear_svm": {"C": [10.0 ** i for i in range(-3, 3)], "loss": ["hinge", "squared_hinge"]},
+    "boosted_trees": {"rounds": [200, 300, 500], "depth": [4, 6, 8], "rate": [0.01, 0.05, 0.1], "subsample": [0.8, 1.0]},
+}
 # ---------------------------------------------------------------------------
 # End of fixed values.
 # ---------------------------------------------------------------------------
