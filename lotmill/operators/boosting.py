@@ -8,7 +8,6 @@ one row per node; rows keep their margins in a table that is rewritten every few
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,10 +23,11 @@ from pyspark.sql import functions as F
 from lotmill.operators.bins import MOST_BINS, as_array, binned, cut_points, hashed, matrix
 from lotmill.operators.copies import number_copies
 from lotmill.operators.encode import _TableReader, _TableWriter
+from lotmill.session import written
 
 SCALE = 1 << 26
 LEAST_GAIN = 1e-6
-ROUNDS_PER_WRITE = 20  # margins are written to the shared folder that often, which bounds what a lost executor costs
+ROUNDS_PER_WRITE = 5  # margins are written to the shared folder that often: plans stay short, and a lost executor costs little
 
 NODES = "round int, class int, node long, feature int, cut double, bin int, missing_left boolean, value double, gain double"
 
@@ -180,7 +180,7 @@ def grow(df: DataFrame, features: str, label: str, rounds: int, depth: int, rate
             rows = binned(matrix(batch.column(0), width), cuts)
             yield pa.RecordBatch.from_arrays([_packed(rows), batch.column(1), batch.column(2), _packed(np.zeros((len(rows), classes)))], names=["bins", "label", "key", "margins"])
 
-    state = keyed.mapInArrow(start, _STATE).persist(StorageLevel.MEMORY_AND_DISK)
+    state = written(keyed.mapInArrow(start, _STATE), "margins").persist(StorageLevel.MEMORY_AND_DISK)
     out = []
     for number in range(rounds):
         trees = [Tree.empty(depth) for _ in range(classes)]
@@ -205,7 +205,8 @@ def grow(df: DataFrame, features: str, label: str, rounds: int, depth: int, rate
                     for child, g, h in ((2 * node, r["gl"], r["hl"]), (2 * node + 1, r["g"] - r["gl"], r["h"] - r["hl"])):
                         tree.value[child] = -g / (h + reg) * rate
                         opened.append(child)
-                    cut = float(cuts[r["feature"]][r["bin"] - 1])
+                    edges = cuts[r["feature"]]  # behind the last one, known values are split from missing ones
+                    cut = float(edges[r["bin"] - 1]) if r["bin"] <= len(edges) else float("inf")
                     out.append((number, c, int(node), r["feature"], cut, r["bin"], r["missing_left"], 0.0, r["gain"]))
                 following.append(np.array(opened, np.int64))
             open_nodes = following
@@ -231,11 +232,8 @@ def _stepped(spark, state: DataFrame, trees: list[Tree], depth: int, width: int,
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), _packed(margins + step)], names=["bins", "label", "key", "margins"])
 
     after = state.mapInArrow(run, _STATE)
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder and (number + 1) % ROUNDS_PER_WRITE == 0:
-        path = f"{folder.rstrip('/')}/lotmill-margins-{uuid.uuid4().hex}"
-        after.write.parquet(path)
-        after = spark.read.schema(_STATE).parquet(path)
+    if (number + 1) % ROUNDS_PER_WRITE == 0:
+        after = written(after, "margins")
     after = after.persist(StorageLevel.MEMORY_AND_DISK)
     after.count()
     state.unpersist()

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lotmill.operators.bins import MOST_BINS, as_array, binned, cut_points, hashed, matrix
 from lotmill.operators.encode import _TableReader, _TableWriter
+from lotmill.session import written
 
 CELLS = 4_000_000  # counts of one pass, in each task and in the result
 NODES = "tree int, node int, feature int, cut double, left int, right int, counts array<double>, offered array<int>"
@@ -226,7 +227,7 @@ def grow(df: DataFrame, features: str, label: str, trees: int, depth: int, min_s
             values = np.ascontiguousarray(values, "<f8") if random_cuts else binned(values, edges)
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in values], pa.binary()), batch.column(1)], names=["values", "label"])
 
-    state = rows.mapInArrow(start, "values binary, label int").persist(StorageLevel.MEMORY_AND_DISK)
+    state = written(rows.mapInArrow(start, "values binary, label int"), "tree-rows").persist(StorageLevel.MEMORY_AND_DISK)
     whole = np.zeros(classes)
     for r in state.groupBy("label").count().collect():
         whole[r["label"]] = r["count"]

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotmill.operators.bins import as_array, matrix
+from lotmill.session import written
 
 LENGTHS = [2.0 ** -i for i in range(16)]
 
@@ -42,7 +43,8 @@ def _sums(rows: DataFrame, part, size: int) -> np.ndarray:
 
 def squared_hinge(df: DataFrame, features: str, label: str, c: float, most_steps: int = 100, tolerance: float = 1e-8) -> list[list[float]]:
     """Weights (intercept last) per class. Values must be known; rows without a label are left out."""
-    rows = df.where(F.col(label).isNotNull()).select(as_array(features, df).alias("f"), F.col(label).cast("int").alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.where(F.col(label).isNotNull()).select(as_array(features, df).alias("f"), F.col(label).cast("int").alias("label"))
+    rows = written(rows, "svm-rows").persist(StorageLevel.MEMORY_AND_DISK)
     shape = rows.agg(F.max(F.size("f")).alias("width"), F.max("label").alias("top")).first()
     if shape["top"] is None:
         raise ValueError("no labelled rows")

@@ -25,6 +25,7 @@ from lotmill.operators.linear import SquaredHingeSVM
 from lotmill.operators.sampling import stratified_folds, stratified_split, undersample
 from lotmill.operators.selection import FeatureSelector
 from lotmill.operators.smote import smote
+from lotmill.session import written
 
 
 @dataclass
@@ -34,12 +35,6 @@ class Prepared:
     data: DataFrame
     features: list[str]
     stages: PipelineModel
-    kept: Sequence[DataFrame] = ()
-
-    def release(self) -> None:
-        """Frees the kept rows; ``data`` stays usable."""
-        for df in self.kept:
-            df.unpersist()
 
     def part(self, name: str) -> DataFrame:
         return self.data.where(F.col("split") == name)
@@ -55,8 +50,9 @@ def prepare(df: DataFrame, current_year: int, target: str = "price_tier", drop:
     split = stratified_split(labelled, "label", test_size, val_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     source = split if fit_on == "all" else split.where(F.col("split") == fit_on)
     stages = Pipeline(stages=feature_stages(current_year, [c for c in CATEGORIES if c in df.columns])).fit(source)
-    data = stages.transform(split).withColumn("label", F.col("label").cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(data, feature_columns(data), stages, (data, split))
+    data = written(stages.transform(split).withColumn("label", F.col("label").cast("double")), "features")
+    split.unpersist()
+    return Prepared(data, feature_columns(data), stages)
 
 
 def resampled(train: DataFrame, features: Sequence[str], seed: int = 42, kinds: Sequence[str] = ("none", "smote", "undersample")) -> dict[str, DataFrame]:
@@ -220,7 +216,6 @@ def train_all(df: DataFrame, current_year: int, models: Sequence[str] | None = N
                 if model is not None:
                     whole = PipelineModel(stages=[*prepared.stages.stages, *model.stages])
                     whole.write().overwrite().save(f"{log_path}/models/{name}_{dataset}")
-    prepared.release()
     rows = [{**r, "best_params": {k: str(v) for k, v in r["best_params"].items()}} for r in results]
     names = [c.split()[0] for c in RESULT_SCHEMA.split(", ")]
     table = df.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in rows], RESULT_SCHEMA)
@@ -233,7 +228,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], config: Config, param
 
     Score the pooled rows once with :func:`scores`. Folds are stratified; rows without a label are left out.
     """
-    dealt = stratified_folds(df, label, folds, seed, unique_key).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = written(stratified_folds(df, label, folds, seed, unique_key), "folds")
     sizes = {r["fold"]: r["count"] for r in dealt.groupBy("fold").count().collect()}
     out = None
     for fold in sorted(sizes):

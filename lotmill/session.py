@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "lotmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,3 +37,17 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not folder:
         raise ValueError("spark.checkpoint.dir is not set; name a shared folder for written tables")
     return folder.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back, so that iterations start from a short plan and survive lost executors.
+
+    Without ``spark.checkpoint.dir`` a temporary folder serves in local mode only. Columns may have any names.
+    """
+    spark = df.sparkSession
+    master = spark.sparkContext.master
+    folder = shared_dir(spark, tempfile.gettempdir() if master == "local" or master.startswith("local[") else None)
+    path = f"{folder}/lotmill-{name}-{uuid.uuid4().hex}"
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    plain.write.parquet(path)
+    return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)

@@ -64,11 +64,36 @@ def test_saved_model_fills_nulls_as_in_training(spark, tmp_path):
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import DecisionTreeClassifier
 
-    rows = [(float(i % 5) if i % 3 else None, float(i), float(i % 3 == 0)) for i in range(90)]
+    # a missing value counts as 0, which no known value of ``a`` is
+    rows = [(1.0 + i % 5 if i % 3 else None, float(i), float(i % 3 == 0)) for i in range(90)]
     df = spark.createDataFrame(rows, "a double, b double, label double")
     model = train.assembled(["a", "b"], DecisionTreeClassifier(maxDepth=3)).fit(df)
     model.write().overwrite().save(str(tmp_path / "m"))
     again = PipelineModel.load(str(tmp_path / "m")).transform(df)
-    assert again.where("a IS NULL AND prediction <> 1").count() == 0
+    assert again.where("prediction <> label").count() == 0
+    found = [{r["b"]: (r["prediction"], tuple(r["probability"])) for r in scored.collect()} for scored in (model.transform(df), again)]
+    assert found[0] == found[1] and len(found[0]) == 90
+    zeros = df.withColumn("a", F.coalesce("a", F.lit(0.0)))
+    assert {r["b"]: (r["prediction"], tuple(r["probability"])) for r in model.transform(zeros).collect()} == found[0]
     nothing = spark.createDataFrame([(None, float("nan"))], "a double, b double")
-    assert again.count() == 90 and model.transform(nothing).count() == 1
+    assert model.transform(nothing).count() == 1
+
+
+def test_selection_report_and_one_record(spark, tmp_path):
+    from lotmill.operators.selection import FeatureSelector
+
+    rows = [(float(i % 7), float(i * 31 % 11), 1.0, i % 7 // 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    selector = FeatureSelector("importance", rounds=2).fit(df, ["a", "b", "c"])
+    assert selector.selected[0] == "a" and "c" not in selector.selected
+    selector.save(spark, str(tmp_path / "chosen"))
+    assert "strategy=importance" in (tmp_path / "chosen.txt").read_text()
+    assert (tmp_path / "chosen_features.txt").read_text().splitlines()[3:] == selector.selected
+
+
+def test_boosted_trees_see_missing_values_as_missing(spark):
+    config = train.model_configs()["boosted_trees"]
+    rows = [(None if i % 2 else float(i % 5 - 2), i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "a double, label int")
+    model = train.assembled(["a"], config.make({"rounds": 2, "depth": 2, "rate": 0.3, "subsample": 1.0}, 80), config.scale, config.fill).fit(df)
+    assert model.transform(df).where("prediction <> label").count() == 0  # with 0 for missing, rows of value 0 could not be told apart

@@ -32,7 +32,7 @@ def plain_booster(x, y, cuts, rounds, depth, rate, reg=1.0, least=1.0):
         best = None
         if level < depth:
             for f in range(x.shape[1]):
-                for b, c in enumerate(cuts[f]):
+                for c in [*cuts[f], np.inf]:  # the last one splits known from missing values
                     for missing_left in (False, True):
                         v = x[rows, f]
                         left = np.where(np.isnan(v), missing_left, v < c)
