@@ -28,7 +28,7 @@ def cut_points(df: DataFrame, features: Column, width: int, bins: int = MOST_BIN
     partition, beyond it within 1 / ACCURACY of the rank. The smallest value is no cut, as nothing lies before it.
     """
     most = bins - 2
-    grid = F.split(F.lit(",".join(str((i + 0.5) / (most + 1)) for i in range(most + 1))), ",").cast("array<double>")
+    grid = F.split(F.lit(",".join(str((i + 1) / (most + 1)) for i in range(most))), ",").cast("array<double>")
     values = df.select(features.alias("_f"))
     known = [F.nanvl(F.col("_f")[i], F.lit(None).cast("double")) for i in range(width)]
     row = values.agg(*[F.percentile_approx(v, grid, F.lit(ACCURACY)).alias(f"q{i}") for i, v in enumerate(known)], *[F.min(v).alias(f"low{i}") for i, v in enumerate(known)]).first()
