@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,7 +197,9 @@ def distribution(df: DataFrame, columns: Sequence[str] = rules.NUMERIC_COLUMNS,
     )
     lo = F.element_at(F.create_map(*[F.lit(x) for c, b in mean_bounds.items() for x in (c, float(b[0]))]), F.col("column"))
     hi = F.element_at(F.create_map(*[F.lit(x) for c, b in mean_bounds.items() for x in (c, float(b[1]))]), F.col("column"))
-    p_value = ks_p_value(F.col("ks_statistic"), F.col("values"))
+    # one row per column goes through the exact distribution
+    few = F.col("values") <= KS_EXACT_ROWS
+    p_value = F.when(few, exact_ks_p_values()(F.when(few, F.col("ks_statistic")), F.col("values"))).otherwise(ks_p_value(F.col("ks_statistic"), F.col("values")))
     skew, kurt = F.col("skewness"), F.col("kurtosis")
     return table.select(
         "column", "values",
@@ -209,6 +214,57 @@ def distribution(df: DataFrame, columns: Sequence[str] = rules.NUMERIC_COLUMNS,
     )
 
 
+KS_EXACT_ROWS = 10_000
+
+
+def exact_ks_p_value(d: float, n: int) -> float:
+    """P(D_n >= d) of the two-sided one-sample statistic, exact for every n.
+
+    Marsaglia, Tsang and Wang (2003): with d = (k - h) / n the probability of a smaller statistic is n! / n^n times
+    the middle entry of the n-th power of a matrix of 2k - 1 rows. Beyond n d^2 = 18 the value is below 1e-15 and counts as 0.
+    """
+    if n * d <= 0.5:
+        return 1.0
+    if d >= 1.0 or n * d * d > 18.0:
+        return 0.0
+    k = int(n * d) + 1
+    h, m = k - n * d, 2 * k - 1
+    inverse = 1.0 / np.cumprod(np.arange(1.0, m + 1))  # 1 / i!
+    step = np.subtract.outer(np.arange(m), np.arange(m)) + 1
+    matrix = np.where(step >= 0, np.where(step > 0, inverse[np.maximum(step, 1) - 1], 1.0), 0.0)
+    powers = h ** np.arange(1.0, m + 1)
+    matrix[:, 0] -= powers * inverse
+    matrix[-1, :] -= (powers * inverse)[::-1]
+    if 2 * h > 1:
+        matrix[-1, 0] += (2 * h - 1) ** m * inverse[-1]
+    out, exponent, factor, factor_exponent, left = np.eye(m), 0, matrix, 0, n
+    while left:  # power by squaring, with the exponent of ten kept apart
+        if left & 1:
+            out, exponent = out @ factor, exponent + factor_exponent
+            if abs(out[k - 1, k - 1]) > 1e140:
+                out, exponent = out * 1e-140, exponent + 140
+        left >>= 1
+        if left:
+            factor, factor_exponent = factor @ factor, 2 * factor_exponent
+            if abs(factor[k - 1, k - 1]) > 1e140:
+                factor, factor_exponent = factor * 1e-140, factor_exponent + 140
+    if out[k - 1, k - 1] <= 0.0:  # smaller than any double
+        return 1.0
+    below = math.log(out[k - 1, k - 1]) + exponent * math.log(10.0) + math.lgamma(n + 1) - n * math.log(n)
+    return min(1.0, max(0.0, 1.0 - math.exp(below)))
+
+
+def exact_ks_p_values():
+    """:func:`exact_ks_p_value` as a column function of statistic and row count; null where one is null."""
+
+    @F.arrow_udf("double")
+    def found(statistic: pa.Array, n: pa.Array) -> pa.Array:
+        pairs = zip(statistic.to_pylist(), n.to_pylist())
+        return pa.array([None if d is None or k is None else exact_ks_p_value(d, k) for d, k in pairs], pa.float64())
+
+    return found
+
+
 def ks_p_value(statistic, n):
     """Kolmogorov's series with the usual small-sample correction of the argument (Stephens 1970)."""
     root = F.sqrt(n.cast("double"))

@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -203,3 +204,20 @@ def test_isolation_trees_draw_rows_and_not_contents(spark):
     few = spark.range(200_000).selectExpr("CAST(id % 20 AS double) AS a", "CAST(id % 4 AS double) AS b")
     trees = forest.fit_trees(few, ["a", "b"], 200_000, trees=20)
     assert [r["tree"] for r in trees] == list(range(20)) and all(max(r["feature"]) >= 0 for r in trees)
+
+
+def test_exact_kolmogorov_distribution(spark):
+    from lotmill.operators.quality import exact_ks_p_value, exact_ks_p_values, ks_p_value
+
+    assert exact_ks_p_value(0.274, 10) == pytest.approx(1 - 0.6284796154565043, abs=1e-12)  # table of Marsaglia, Tsang and Wang
+    for n in (1, 2, 5, 20):
+        for d in np.linspace(max(1 - 1 / n, 0.5) + 1e-9, 0.999, 7):  # here only one of the two sides can be that far
+            assert exact_ks_p_value(float(d), n) == pytest.approx(2 * (1 - d) ** n, abs=1e-9)
+        for d in np.linspace(0.5 / n + 1e-6, 1 / n, 5):
+            assert exact_ks_p_value(float(d), n) == pytest.approx(1 - math.factorial(n) * (2 * d - 1 / n) ** n, abs=1e-9)
+    assert exact_ks_p_value(0.0, 5) == 1.0 and exact_ks_p_value(1.0, 5) == 0.0 and exact_ks_p_value(0.9, 100) == 0.0
+    assert exact_ks_p_value(0.0001, 10_000) == 1.0
+    rows = spark.createDataFrame([(0.0136, 10_000), (0.274, 10), (None, 4)], "d double, n long")
+    found = rows.select(exact_ks_p_values()("d", "n").alias("exact"), ks_p_value(F.col("d"), F.col("n")).alias("series")).collect()
+    assert found[0]["exact"] == pytest.approx(found[0]["series"], abs=2e-4) and found[1]["exact"] == pytest.approx(0.3715203845, abs=1e-9)
+    assert found[2]["exact"] is None
