@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotmill.llm.common import components, small, without_ids, written
-from lotmill.llm.words import shingle_sets
+from lotmill.llm.words import shingle_sets, slices
 
 BUCKETS = 1 << 20  # entries of the count table, whatever the input
 PIECE = 1 << 14  # entries of it per row while it is added up
@@ -75,9 +75,9 @@ def _levels(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def parity_bits(s: np.ndarray) -> bytes:
-    """One bit per hash bucket: whether an odd number of members falls into it; 4 to 8 bits per member."""
+    """One bit per hash bucket: whether an odd number of members falls into it; 1 to 2 bits per member, 4 KB at most."""
     width = 256
-    while width < 4 * len(s) and width < 1 << 17:
+    while width < len(s) and width < 1 << 15:
         width *= 2
     counts = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -94,23 +94,32 @@ def parity_gap(one: bytes, other: bytes) -> int:
     return int(np.bitwise_count(_folded(a, width) ^ _folded(b, width)).sum())
 
 
+def _parts(batches):
+    """Ids and texts of batches (id, text) in runs of about two megabytes of text, so that results stay as small."""
+    for batch in batches:
+        at = 0
+        for texts in slices(batch.column(1)):
+            yield batch.column(0).slice(at, len(texts)), texts
+            at += len(texts)
+
+
 def _features(docs: DataFrame, k: int, percent: int, levels) -> DataFrame:
     """Size, content digest, prefix of rarest shingles, parity bitmap and, for small sizes, the whole set."""
 
     def rows(batches):
         level = levels.value
-        for batch in batches:
+        for ids, texts in _parts(batches):
             out = []
-            for s in shingle_sets(batch.column(1), k):
+            for s in shingle_sets(texts, k):
                 n = len(s)
                 first = n - (percent * n + 99) // 100 + 1 if n else 0
                 order = np.lexsort((s, level[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[:first]
                 digest = xxhash.xxh3_128_intdigest(s.tobytes())
                 out.append((n, (digest & (1 << 64) - 1) - (1 << 63), (digest >> 64) - (1 << 63), s[order].view(np.int64),
                             s.view(np.int64) if 0 < n <= MAX_BOUNDARY else None, parity_bits(s)))
-            n, low, high, prefix, small, bits = zip(*out, strict=True) if out else ((), (), (), (), (), ())
+            n, low, high, prefix, small, bits = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
+                ids, pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
                 pa.array(prefix, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
                 names=["id", "n", "low", "high", "prefix", "small", "bits"])
 
@@ -172,9 +181,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     """Pairs that are linked, decided on the full sets, which are made anew for the documents in question."""
 
     def sets(batches):
-        for batch in batches:
-            found = [s.view(np.int64) for s in shingle_sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "members"])
+        for ids, texts in _parts(batches):
+            found = [s.view(np.int64) for s in shingle_sets(texts, k)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.list_(pa.int64()))], names=["id", "members"])
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     full = written(docs.join(wanted, "id", "left_semi").select("id", "text").dropDuplicates(["id"]).mapInArrow(sets, "id long, members array<long>"), "sets")
@@ -274,10 +283,10 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     copies = facts.select("id", "low", "high").join(reps, ["low", "high"]).where("id <> rep").select("id")
     chosen = without_ids(facts.where("n > 0"), "id", copies)  # wide rows stay where they are while the copies are few
 
-    # narrow rows, dealt out by shingle once; counting and joining back need no further exchange
-    entries = chosen.select("id", F.explode("prefix").alias("key")).repartition("key")
-    heads = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").drop("last")
-    lists = written(entries.join(heads, "key"), "lists")
+    # counts combine map-side; the join back is a plain one, so that adaptive execution splits a hot shingle
+    entries = chosen.select("id", F.explode("prefix").alias("key"))
+    heads = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead")).where("m > 1")
+    lists = written(entries.join(small(written(heads, "heads")), "key"), "lists")
     small_sets = reps.where(f"n <= {MAX_BOUNDARY}").select(F.col("rep").alias("id"))
     wanted = small(written(lists.select("id").union(small_sets).distinct(), "listed"))
     chosen = written(chosen.select("id", "n", "small", "bits").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "chosen")
