@@ -70,3 +70,20 @@ def sample_ids(rows: DataFrame, id_col: str, most: int, seed: int) -> DataFrame:
     """At most ``most`` distinct ids, the first ones by a seeded hash (a bounded, repeatable sample); column ``_id``."""
     ids = rows.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
     return ids.orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(most)
+
+
+def sample_texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The columns of ``ids`` (``_id`` and others, bounded by ``sample_ids``) with one ``text`` per id.
+
+    Of several texts of an id the one of the smallest hash is taken, chosen map-side first, so that an id that
+    repeats without end still gives one row. Columns of ``docs`` other than id and text are not looked at.
+    """
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    found = texts.join(F.broadcast(ids.select("_id")), F.col("doc") == F.col("_id")).groupBy("_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    return found.select("_id", F.col("t.text").alias("text")).join(F.broadcast(ids), "_id")
+
+
+def agreed(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) once per document; null ids and labels, and documents with conflicting labels, are left out."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias(label), F.max(label).alias("_most"))
+    return known.where(F.col(label) == F.col("_most")).drop("_most")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.features import sample_ids, shape_terms
+from lotmill.llm.features import agreed, sample_ids, sample_texts, shape_terms
 
 BITS = 11
 SAMPLE = 8_000  # labelled texts learned, half of them per label where there are enough
@@ -71,12 +71,16 @@ def _terms(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 3) -> dict:
-    """A model from at most SAMPLE labelled texts, in the order of a seeded hash of the id. Null labels are left out."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    """A model from at most SAMPLE labelled texts, in the order of a seeded hash of the id.
+
+    Null labels and documents labelled both 0 and 1 are left out. An id that repeats counts once, with one of its texts.
+    """
+    known = agreed(labels, "quality")
     n, good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("quality"), F.lit(0))).first()
     ids = [sample_ids(known.where(f"quality = {c}"), "doc_id", SAMPLE // 2, seed).select("_id", F.lit(c).alias("_label")) for c in (0, 1)]
-    rows = docs.join(F.broadcast(ids[0].unionByName(ids[1])), F.col(id_col) == F.col("_id"))
-    rows = rows.select(F.col("_label").alias("label"), F.col(text_col).cast("string").alias("text")).mapInArrow(_terms, "label int, terms array<int>, weights array<float>").collect()
+    rows = sample_texts(docs, ids[0].unionByName(ids[1]), id_col, text_col).select(F.col("_label").alias("label"), "text")
+    rows = rows.mapInArrow(_terms, "label int, terms array<int>, weights array<float>").collect()
+    rows.sort(key=lambda r: (r["label"], r["terms"], r["weights"]))  # a model does not depend on the order of partitions
     prior = (good + 1) / (n + 2)
     if not rows:
         return {"projection": np.zeros((1 << BITS, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": np.zeros(0), "prior": prior}

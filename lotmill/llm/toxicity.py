@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.features import letter_words, sample_ids
+from lotmill.llm.features import agreed, letter_words, sample_ids, sample_texts
 
 BITS = 18
 POSITIVES = 4_000  # bounds of the training sample
@@ -66,8 +66,11 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 5) -> dict[str, np.ndarray]:
-    """A model from at most POSITIVES confirmed toxic texts and UNLABELLED others; labels of 0 only set the prior."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    """A model from at most POSITIVES confirmed toxic texts and UNLABELLED others; labels of 0 only set the prior.
+
+    Null labels and documents labelled both 0 and 1 are left out. An id that repeats counts once, with one of its texts.
+    """
+    known = agreed(labels, "toxic")
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     sides = {True: sample_ids(known.where("toxic = 1"), "doc_id", POSITIVES, seed), False: sample_ids(docs, id_col, UNLABELLED, seed + 1)}
 
@@ -78,8 +81,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     lists = {}
     for side, ids in sides.items():
-        rows = docs.join(F.broadcast(ids), F.col(id_col) == F.col("_id")).select(F.col(text_col).cast("string"))
-        lists[side] = [np.array(r["words"], np.int32) for r in rows.mapInArrow(words, "words array<int>").collect()]
+        found = sample_texts(docs, ids, id_col, text_col).select("text").mapInArrow(words, "words array<int>").collect()
+        lists[side] = [np.array(w, np.int32) for w in sorted(r["words"] for r in found)]
     return fit(lists[True], lists[False], toxic / n if n else 0.05)
 
 
