@@ -37,7 +37,8 @@ def word_list(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     half = LEXICON_SAMPLE // 2
     ranked = [chosen.where(f"toxic = {c}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(half) for c in (0, 1)]
     sample = F.broadcast(ranked[0].unionByName(ranked[1]).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic")))
-    rows = docs.join(sample, F.col(id_col) == F.col("_id")).select(F.col("_toxic").alias("toxic"), F.array_distinct(words(F.col(text_col))).alias("w"))
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))  # no clash with columns of docs
+    rows = texts.join(sample, F.col("doc") == F.col("_id")).select(F.col("_toxic").alias("toxic"), F.array_distinct(words(F.col("text"))).alias("w"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return []
@@ -59,7 +60,7 @@ def _features(docs: DataFrame, text_col: str, listed: list[str]) -> DataFrame:
         "row", n.cast("long").alias("tokens"),
         F.coalesce(F.try_divide(F.length(F.array_join("w", "")) + n, F.col("chars") + 1.0), F.lit(0.0)).alias("letters"),
         F.coalesce(F.try_divide(F.log1p(F.size(F.array_distinct("w")).cast("double")), F.log1p(n.cast("double"))), F.lit(0.0)).alias("variety"),
-        F.least(hits, F.lit(3)).cast("double").alias("listed"), F.log1p(n.cast("double")).alias("length"))
+        F.log1p(hits.cast("double")).alias("listed"), F.log1p(n.cast("double")).alias("length"))
 
 
 def _posteriors(stats: list, names: list[str]):
@@ -92,7 +93,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """
     targets = dict(TARGETS if targets is None else targets)
     names = list(DOMAINS)
-    keep = [c for c in (keep or docs.columns) if not c.startswith("mix_")]
+    made = {"mix_tokens", "mix_rate", "mix_copies", *(f"mix_p_{d}" for d in names)}
+    keep = [c for c in (keep or docs.columns) if c not in made]
     own = docs.select(*dict.fromkeys([*keep, id_col, text_col]))
     listed = word_list(own, labels, id_col, text_col)
     table = _features(own, text_col, listed).select(*[F.col("row").getField(c).alias(f"row_{c}") for c in dict.fromkeys([*keep, id_col])], "tokens", *FEATURES)
@@ -130,11 +132,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
         history.append(step)
         if len(history) > 1 and max(map(abs, step)) <= 1e-9:
             break
-    rate = _rate(history, p)
-    out = table.select(*[F.col(f"row_{c}").alias(c) for c in keep], F.col(f"row_{id_col}").alias("_mix_id"), F.col("tokens").alias("mix_tokens"),
-                       *[F.col(f"p_{d}").alias(f"mix_p_{d}") for d in names], rate.alias("mix_rate"))
-    uniform = F.pmod(F.xxhash64("_mix_id", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
-    return out.withColumn("mix_copies", F.floor(F.col("mix_rate") + uniform).cast("int")).drop("_mix_id")
+    table = table.select("*", _rate(history, p).alias("rate"))
+    uniform = F.pmod(F.xxhash64(f"row_{id_col}", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
+    return table.select(*[F.col(f"row_{c}").alias(c) for c in keep], F.col("tokens").alias("mix_tokens"), *[F.col(f"p_{d}").alias(f"mix_p_{d}") for d in names],
+                        F.col("rate").alias("mix_rate"), F.floor(F.col("rate") + uniform).cast("int").alias("mix_copies"))
 
 
 def _rate(history: list[list[float]], p: list[str]):
