@@ -2,8 +2,11 @@
 
 A value is found by its shape, validated (Luhn, mod 97, octets, calendar), and its variable characters are
 permuted by a keyed Feistel network inside the set of valid values of that format: digits stay digits, check
-digits are made anew, dates stay dates, separators and lengths stay. The permutation depends on key, kind and
-format only, so equal values get equal pseudonyms in all documents and rows, and the key undoes them.
+digits are made anew, dates stay dates written alike (order, separators, one or two digits), separators and lengths
+stay (but for addresses, whose four numbers may get longer or shorter). Long numbers that are no valid card stay
+none, so that no two values share a pseudonym. Dates with slashes are read as month/day/year and, where that is no
+date, as day/month/year. The permutation depends on key, kind and format only, so equal values get equal
+pseudonyms in all documents and rows, and the key undoes them.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ _SHAPES = re.compile(
     r"|(?P<date>(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4})(?![\w/-]))"
     r"|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))"
     r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![\w])"
-    r"|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\w])|(?<![\w+.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\w]))"
+    r"|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\w])|(?<![\w+.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\w])"
+    r"|(?<![\w+.-])0[0-9]{2,4}[ /-][0-9]{5,8}(?![\w]))"
     r"|(?P<ssn>(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<number>(?<![\w.+-])(?:[0-9]{12,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3})?)(?![\w]))", re.ASCII)
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # up to the end of 2099
@@ -111,7 +115,7 @@ def classify(kind: str, value: str) -> str | None:
         except ValueError:
             return None
     if kind == "date":
-        return "date" if _day(value) is not None else None
+        return "date" if _dated(value) is not None else None
     if kind == "iban":
         return "iban" if 15 <= len(bare) <= 34 and _iban_check(bare[:2], bare[4:]) == bare[2:4] else None
     if kind == "ssn":
@@ -125,25 +129,48 @@ def classify(kind: str, value: str) -> str | None:
     return kind
 
 
-def _day(value: str) -> int | None:
-    a, b, c = map(int, re.split(r"[-./]", value))
-    year, month, day = (a, b, c) if "-" in value else (c, b, a) if "." in value else (c, a, b)
+def _read(value: str, order: str) -> int | None:
+    """The day number of a date whose parts are in ``order`` (of y, m, d), or None if it is none."""
+    parts = dict(zip(order, map(int, re.split(r"[-./]", value)), strict=True))
     try:
-        day = datetime.date(year, month, day).toordinal() - _FIRST_DAY
+        day = datetime.date(parts["y"], parts["m"], parts["d"]).toordinal() - _FIRST_DAY
     except ValueError:
         return None
     return day if 0 <= day < _DAYS else None
 
 
+def _dated(value: str) -> tuple[int, str] | None:
+    """Day number and order of the parts; dates with slashes are month first wherever that is a date."""
+    orders = ("ymd",) if "-" in value else ("dmy",) if "." in value else ("mdy", "dmy")
+    return next(((day, order) for order in orders if (day := _read(value, order)) is not None), None)
+
+
+def _written(day: int, order: str, shape: str) -> str:
+    """The date in the order, separators and (at least) the widths of ``shape``."""
+    date = datetime.date.fromordinal(day + _FIRST_DAY)
+    parts = iter((date.year, date.month, date.day)["ymd".index(c)] for c in order)
+    return re.sub(r"[0-9]+", lambda m: f"{next(parts):0{len(m.group())}d}", shape)
+
+
+def _new_date(value: str, key: bytes, inverse: bool) -> str:
+    """Walks the permutation of all days until the date is written in the same shape and read in the same order."""
+    day, order = _dated(value)
+    shape = re.sub(r"[0-9]", "0", value)
+    full = shape in ("0000-00-00", "00.00.0000", "00/00/0000") and (order != "dmy" or "." in value)
+    tweak = "date" if full else f"date|{order}|{shape}"
+    while True:
+        day = permute(day, _DAYS, key, tweak, inverse)
+        new = _written(day, order, shape)
+        if len(new) == len(shape) and re.sub(r"[0-9]", "0", new) == shape and _dated(new) == (day, order):
+            return new
+
+
 def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str:
     """The pseudonym of a validated value (or, with ``inverse``, the value of a pseudonym)."""
     bare = re.sub(r"[^0-9A-Za-z]", "", value)
     tweak = f"{kind}|{len(bare)}"
     if kind == "date":
-        new = datetime.date.fromordinal(permute(_day(value), _DAYS, key, "date", inverse) + _FIRST_DAY)
-        if "-" in value:
-            return f"{new:%Y-%m-%d}"
-        return f"{new:%d.%m.%Y}" if "." in value else f"{new:%m/%d/%Y}"
+        return _new_date(value, key, inverse)
     if kind == "ip":
         return str(ipaddress.ip_address(permute(int(ipaddress.ip_address(value)), 1 << 32, key, "ip", inverse)))
     if kind == "card":
@@ -159,7 +186,7 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str:
         return f"{area + (area >= 666):03d}-{x // 9999 % 99 + 1:02d}-{x % 9999 + 1:04d}"
     if kind == "phone":
         lead = re.match(r"\+[0-9]{1,3}(?=[ .(-])", value)
-        lead = lead.group() if lead else ""
+        lead = lead.group() if lead else "0" if re.fullmatch(r"0[0-9]{2,4}[ /-][0-9]{5,8}", value) else ""
         return lead + _refill(value[len(lead):], _chars(re.sub(r"\D", "", value[len(lead):]), key, f"phone|{lead}", inverse))
     if kind == "email":
         local, _, domain = value.partition("@")
@@ -167,7 +194,10 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str:
     if kind == "secret":
         new = _chars(value.lower(), key, tweak, inverse, hexadecimal=True)
         return new if value == value.lower() else new.upper()
-    return _refill(value, _chars(bare, key, tweak, inverse))
+    while True:  # an account stays outside the numbers that cards are permuted in
+        bare = _chars(bare, key, tweak, inverse)
+        if kind != "account" or classify("number", bare) == "account":
+            return _refill(value, bare)
 
 
 @functools.lru_cache(100_000)
