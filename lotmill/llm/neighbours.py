@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
 The split planes of all trees are fitted on a bounded sample; every vector is then routed to one leaf per tree.
-A query walks all trees through one shared priority queue ordered by the worst margin on the way, and takes leaves
-until enough candidates are expected. The leaves' vectors are reranked by exact inner products in double precision.
+A query walks all trees through one shared priority queue ordered by the worst margin on the way. How many leaves it
+takes is measured: for a bounded sample of queries the exact neighbours are found by comparing them with all vectors, and
+their places in the queues give the fewest leaves that hold TARGET of them; the rule is the same at every size. The leaves'
+vectors are reranked by exact inner products in double precision.
 
 Largest inner product is turned into nearness by one more component, ``sqrt(M^2 - |x|^2)`` with the largest norm M, for
 routing only. Equal vectors are one candidate that carries its smallest ids, as no query needs more of them.
@@ -22,8 +24,8 @@ from lotmill.llm.common import written
 TREES = 12
 LEAF = 256  # vectors expected per leaf
 SAMPLE = 20_000  # vectors that the planes are fitted on
-SEARCH_SHARE = 0.3  # candidates looked at: this share of all vectors or SEARCH_LEAST, whichever is more
-SEARCH_LEAST = 8_000
+PROBES = 100  # sampled queries whose exact neighbours set the number of leaves
+TARGET = 0.94  # share of these neighbours that the leaves have to hold
 PER_TASK = 2_048  # queries that meet one leaf in one task
 
 
@@ -83,6 +85,41 @@ class Forest:
         return out
 
 
+def _leaves_wanted(probes: list, classes: DataFrame, forest, extended, k: int) -> int:
+    """The fewest leaves per query that hold TARGET of the exact neighbours of ``probes`` (rows of class c, vector v).
+
+    All vectors are compared with the probes; a task keeps k nearest per probe, with their leaves, whatever its size.
+    """
+    ids, asked = np.array([r["c"] for r in probes]), np.array([r["v"] for r in probes])
+
+    def nearest(frames):
+        best = [[] for _ in ids]
+        for frame in frames:
+            for at in range(0, len(frame), 4096):
+                part = frame.iloc[at:at + 4096]
+                own, x = part["c"].to_numpy(), np.stack(part["v"])
+                scores = asked @ x.T
+                scores[ids[:, None] == own[None, :]] = -np.inf
+                top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                used, where = np.unique(top, return_inverse=True)
+                homes = forest.value.leaves(extended(x[used], False))[where.reshape(top.shape)]
+                for i in range(len(ids)):
+                    found = [(-scores[i, j], int(own[j]), homes[i, n].tolist()) for n, j in enumerate(top[i]) if scores[i, j] > -np.inf]
+                    best[i] = sorted(best[i] + found)[:k]
+        yield pd.DataFrame([(i, -s, c, h) for i, rows in enumerate(best) for s, c, h in rows], columns=["probe", "score", "c", "homes"])
+
+    def places(table: pd.DataFrame) -> pd.DataFrame:
+        i = int(table["probe"].iloc[0])
+        table = table.sort_values(["score", "c"], ascending=[False, True])[:k]
+        margins = forest.value.margins(extended(asked[i:i + 1], True))[0]
+        order = {leaf: n for n, leaf in enumerate(forest.value.search(margins, margins.shape[0] << forest.value.depth), 1)}
+        return pd.DataFrame({"place": [min(order[t, leaf] for t, leaf in enumerate(h)) for h in table["homes"]]})
+
+    found = classes.select("c", "v").mapInPandas(nearest, "probe int, score double, c long, homes array<long>")
+    found = sorted(r["place"] for r in found.groupBy("probe").applyInPandas(places, "place long").collect())  # k per probe
+    return found[min(len(found), int(np.ceil(TARGET * len(found)))) - 1] if found else 1
+
+
 def _valid(vector: Column) -> Column:
     """Not null, not zero, all components present and finite."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -94,7 +131,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     """(query_id, rank, id_col, score): the k nearest found of every row where ``is_query`` holds, itself excluded.
 
     Ties go to the smaller id. Null ids and vectors that are null, zero, or hold null or non-finite components take no
-    part, nor do vectors of another length than most (ties: the longer). Fewer than k candidates give fewer
+    part, nor do vectors of another length than most (ties: the longer). Fewer than k candidates found give fewer
     rows. Ids are taken to be unique; of rows that repeat an id the vectors count as candidates of that id.
     """
     spark = vectors.sparkSession
@@ -119,8 +156,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         return np.c_[x, more] / most
 
     forest = spark.sparkContext.broadcast(Forest(extended(sample, False), total, trees, leaf, seed))
-    wanted = max(SEARCH_LEAST, int(SEARCH_SHARE * total))
-    n_leaves = max(trees, int(np.ceil(wanted / (total / (1 << forest.value.depth)))))
+    queries = written(rows.where("q").groupBy("v").agg(F.min("id").alias("q")), "queries")  # equal queries are searched once
+    probes = queries.orderBy(F.xxhash64("q", F.lit(seed)), "q").limit(PROBES).select("v")
+    probes = classes.join(F.broadcast(probes), "v").select("c", "v").orderBy("c").collect()
+    least = int(np.ceil((k + 1) / max(1.0, total / (1 << forest.value.depth)))) + 1  # enough vectors for k neighbours
+    n_leaves = max(trees, least, _leaves_wanted(probes, classes, forest, extended, k) if probes else 1)
 
     def route(frames):
         for frame in frames:
@@ -155,7 +195,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
             out += [[{"c": int(ids[j]), "score": float(s[i, j])} for j in top[i]] for i in range(len(s))]
         return pd.DataFrame({"q": q, "near": out})
 
-    queries = written(rows.where("q").groupBy("v").agg(F.min("id").alias("q")), "queries")  # equal queries are searched once
     homes = classes.select("c", "v").mapInPandas(route, "tree int, leaf long, c long, v array<double>")
     visits = written(queries.select("q", "v").mapInPandas(walk, "tree int, leaf long, q long, v array<double>"), "visits")
     crowds = written(visits.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).alias("parts")), "crowds")  # one row per leaf of the forest
