@@ -10,21 +10,24 @@ from lotmill.llm.common import small, table, without_ids, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled texts of ``docs``; texts without a letter (or null) are rejected."""
+    """Learns from the labelled texts of ``docs``; texts without a letter (or null) are rejected, and the language
+    found fills a null ``lang``. Known languages stay as they are."""
     samples = language_id.learn(docs)
     rows = docs.select(F.struct("*").alias("row"), language_id.predicted(spark, samples, F.col("text")).alias("found"))
-    return rows.where("found.lang_pred <> 'und'").select("row.*") if samples else docs.where(r"text RLIKE '\\p{L}'")
+    named = [F.coalesce("row.lang", "found.lang_pred").alias(c) if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return rows.where("found.lang_pred <> 'und'").select(*named) if samples else docs.where(r"text RLIKE '\\p{L}'")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group (shingles of five words, similarity 0.8); of rows that repeat an id, one."""
+    """Keeps the smallest id of each group (shingles of five words, similarity 0.8); of rows that repeat id and text, one."""
     classes = written(shingle_join.jaccard_classes(docs, k=5, percent=80), "classes")
     kept = without_ids(docs, "doc_id", classes.where("doc_id <> component_id").select("doc_id"))
     again = small(written(classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id")), "again"))
     if again.isEmpty():
         return kept
-    once = kept.join(again, F.col("doc_id") == F.col("again_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, F.col("doc_id") == F.col("again_id"), "left_anti").unionByName(once)
+    repeats = kept["doc_id"] == again["again_id"]
+    once = kept.join(again, repeats, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, repeats, "left_anti").unionByName(once)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
