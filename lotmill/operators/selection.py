@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lotmill.functions.numeric import known, pearson
 from lotmill.operators.boosting import BoostedTrees
+from lotmill.operators.neighbour_information import neighbour_information
 from lotmill.operators.order_stats import quantiles
 from lotmill.operators.quality import _rows
 from lotmill.sources.tables import write_text
@@ -75,6 +76,14 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
     return placed.groupBy("feature").agg(F.greatest(F.sum(gain), F.lit(0.0)).alias("score"))
 
 
+def neighbour_scores(df: DataFrame, features: Sequence[str], label: str, k: int = 3) -> DataFrame:
+    """Mutual information with the label by k-th neighbours, missing values as 0, in nats."""
+    filled = df.select(F.col(f"`{label}`").alias("_label"), *[_filled(c).alias(c) for c in features])
+    scored = neighbour_information(filled, features, "_label", k)
+    every = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")
+    return every.join(scored, "feature", "left").select("feature", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def importance_scores(df: DataFrame, features: Sequence[str], label: str, seed: int = 42, rounds: int = 100, depth: int = 6) -> DataFrame:
     """Mean split gain of boosted trees per feature, scaled to sum 1; missing values stay missing, text counts as missing."""
     ready = df.select(F.col(label).cast("int").alias("_y"), F.array(*[_number(c) for c in features]).alias("_f"))
@@ -107,7 +116,8 @@ class FeatureSelector:
             "variance": lambda: variance_scores(df, features),
             "correlation": lambda: correlation_scores(df, features, label),
             "k_best": lambda: anova_scores(df, features, label),
-            "mutual_info": lambda: mutual_information(df, features, label),
+            "mutual_info": lambda: neighbour_scores(df, features, label),
+            "binned_info": lambda: mutual_information(df, features, label),
         }
         if self.strategy not in table:
             raise ValueError(f"unknown strategy: {self.strategy}")
@@ -117,7 +127,7 @@ class FeatureSelector:
         self.scores = [(r["feature"], r["score"]) for r in rows]
         head = [f for f, _ in self.scores[: self.k or min(10, len(features))]]
         limit = self.threshold or self.THRESHOLDS.get(self.strategy)
-        if self.strategy in ("k_best", "mutual_info"):
+        if self.strategy in ("k_best", "mutual_info", "binned_info"):
             kept = head
         elif self.strategy == "variance":
             kept = [r["feature"] for r in rows if (r["population_variance"] or 0.0) > limit]

@@ -144,6 +144,23 @@ def l5(spark, sf):
     return selection.mutual_information(scored_rows(spark, sf), _FEATURES, "label").withColumn("score", F.round("score", 6))
 
 
+_LONG = " UNION ALL ".join(f"""SELECT '{c}' AS f, {_CODE} AS y, CAST(coalesce("{c}", 0) AS DOUBLE) AS v FROM listings""" for c in _FEATURES)
+
+
+@query("l5_neighbour_information", with_listings("""SELECT f AS feature, round(greatest(h.d + s, 0), 6) AS score FROM (
+ SELECT f, CAST(sum(n) AS BIGINT) AS t, sum(n * (a.d - b.d - c.d)) / sum(n) AS s FROM counted JOIN psi a ON a.i = used JOIN psi b ON b.i = size JOIN psi c ON c.i = m GROUP BY f) JOIN psi h ON h.i = t""", f"""long AS MATERIALIZED (SELECT f, y, v, count(*) AS n FROM ({_LONG}) GROUP BY ALL)""", """sized AS MATERIALIZED (SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY f, y) AS size, row_number() OVER (PARTITION BY f, y ORDER BY v) AS r FROM long) WHERE size > 1)""",
+"""psi AS MATERIALIZED (SELECT i, sum(CASE WHEN i = 1 THEN -0.5772156649015329e0 ELSE 1.0e0 / (i - 1) END) OVER (ORDER BY i) AS d FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM listings))) AS i))""",
+"""reached AS (SELECT p.f, p.y, p.v, p.n, p.size, least(3, p.size - 1) AS k, abs(q.v - p.v) AS d, q.v AS w, sum(CASE WHEN q.v = p.v THEN q.n - 1 ELSE q.n END) OVER (PARTITION BY p.f, p.y, p.v ORDER BY abs(q.v - p.v), q.v) AS upto
+ FROM sized p JOIN sized q ON p.f = q.f AND p.y = q.y AND q.r BETWEEN p.r - 3 AND p.r + 3)""",
+"""kth AS MATERIALIZED (SELECT f, y, v, n, size, k, arg_min(d, upto) AS d, arg_min(w, upto) AS w FROM reached WHERE upto >= k GROUP BY ALL)""",
+"""held AS MATERIALIZED (SELECT f, v, sum(n) AS n FROM sized GROUP BY f, v)""",
+"""counted AS (SELECT p.f, p.y, p.v, p.n, p.size, CAST(CASE WHEN d = 0 THEN p.n ELSE k END AS BIGINT) AS used, CAST(sum(h.n) AS BIGINT) AS m FROM kth p JOIN held h ON p.f = h.f
+ AND ((d = 0 AND h.v = p.v) OR (d > 0 AND h.v > (CASE WHEN w < p.v THEN w ELSE p.v - d END) AND h.v < (CASE WHEN w > p.v THEN w ELSE p.v + d END))) GROUP BY ALL)"""))
+def l5_neighbours(spark, sf):
+    out = selection.neighbour_scores(scored_rows(spark, sf), _FEATURES, "label")
+    return out.withColumn("score", F.round("score", 6))
+
+
 @query("l6_selected_columns", with_listings(f"""SELECT power, "yearOfRegistration", kilometer, l_linenumber, {_CODE} AS label FROM listings"""))
 def l6(spark, sf):
     rows = scored_rows(spark, sf)
