@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     """CSV with a header, every column as text, 'missing' tokens as null.
 
     Types are not inferred (that would be another pass over the data); numeric coercion is a
-    projection of the cleaning step. ``columns`` skips the header peek. A file whose header differs is an
+    projection of the cleaning step, and :func:`read_typed_csv` makes that pass. ``columns`` skips the header peek. A file whose header differs is an
     error, as its values would land under other names. ``multi_line`` reads values with line breaks; a file is
     then not split over tasks.
     """
@@ -35,6 +35,60 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     return df.select(*[F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+#: type names in the order of the lattice: a column takes the first one that holds all its values, else text
+TYPES = ("boolean", "bigint", "double")
+
+
+def _fits(text: Column) -> dict[str, Column]:
+    """Whether a value reads as each type. Whole numbers need digits only and 64 bits; numbers may have a point, an
+    exponent or be inf; numbers keep blanks around them, booleans do not."""
+    plain = F.trim(text)
+    whole = plain.rlike(r"^[+-]?[0-9]+$") & plain.try_cast("bigint").isNotNull()
+    number = plain.rlike(r"(?i)^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?inf(inity)?$")
+    fits = {"boolean": text.isin("True", "TRUE", "true", "False", "FALSE", "false"), "bigint": whole, "double": number}
+    return {kind: F.when(text.isNotNull(), fit) for kind, fit in fits.items()}
+
+
+def inferred_types(df: DataFrame) -> dict[str, str]:
+    """Type of every text column from all its values, in one aggregation: boolean, bigint, double or string.
+
+    The flags of a column merge by AND, so the result depends neither on the order nor on the partitioning of the rows. Whole
+    numbers beside other numbers give double; any other mix gives string. A column without a value gives double, as a
+    reader of such files would. Columns that are not text keep their type and are left out.
+    """
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return {}
+    cells = [F.bool_and(fit).alias(f"{i}_{kind}") for i, c in enumerate(names) for kind, fit in _fits(F.col(f"`{c}`")).items()]
+    row = df.agg(*cells).first()
+    found = {}
+    for i, c in enumerate(names):
+        flags = {kind: row[f"{i}_{kind}"] for kind in TYPES}
+        found[c] = "double" if flags["double"] is None else next((kind for kind in TYPES if flags[kind]), "string")
+    return found
+
+
+def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Text columns as their inferred types; columns that are not named stay."""
+
+    def cast(c: str) -> Column:
+        text = F.col(f"`{c}`")
+        kind = types.get(c, "string")
+        if kind == "string":
+            return text
+        value = F.lower(text) == "true" if kind == "boolean" else F.trim(text).try_cast(kind)
+        return value.alias(c)
+
+    return df.select(*[cast(c) for c in df.columns])
+
+
+def read_typed_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "UTF-8",
+                   null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS, multi_line: bool = False) -> DataFrame:
+    """As :func:`read_csv`, with types found from all values (a second pass over the file)."""
+    raw = read_csv(spark, path, columns, encoding, null_tokens, multi_line)
+    return with_types(raw, inferred_types(raw))
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", required: Sequence[str] = ()) -> DataFrame:
     """Table with an existence check and a required-column check."""
     if not path_exists(spark, path):

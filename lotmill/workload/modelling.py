@@ -247,6 +247,21 @@ def s1(spark, sf):
     return back.select(*[F.col(k).cast("int" if k == "l_linenumber" else "long").alias(k) for k in KEYS], "brand", "vehicleType", F.col("price").cast("double").alias("price"))
 
 
+@query("s1_inferred_types", with_listings("""SELECT l_orderkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, brand, gearbox, price, CAST(kilometer AS DOUBLE) / 8 AS eighths, l_linenumber > 3 AS late,
+ CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST(l_linenumber * 10 AS BIGINT) END AS gaps, CASE WHEN l_linenumber = 1 THEN 'none given' ELSE CAST(l_linenumber AS VARCHAR) END AS mixed, CASE WHEN l_linenumber = 7 THEN 0.5e0 ELSE l_linenumber END AS half, CAST(NULL AS DOUBLE) AS nothing FROM listings"""))
+def s1_types(spark, sf):
+    """Listings written as text and read back with types found from all values."""
+    path, no = scratch(spark, "typed"), F.col("l_linenumber")
+    rows = listings(spark, sf, "l_orderkey", "l_partkey", "l_linenumber", "brand", "gearbox", "price", "kilometer")
+    made = {
+        "eighths": F.col("kilometer").cast("double") / 8, "late": no > 3, "gaps": F.when(no == 2, "N/A").otherwise((no * 10).cast("string")),
+        "mixed": F.when(no == 1, "none given").otherwise(no.cast("string")),
+        "half": F.when(no == 7, "0.5").otherwise(no.cast("string")), "nothing": F.lit("NULL"),
+    }
+    tables.write_table(rows.withColumns(made).drop("kilometer"), path, "csv")
+    return tables.read_typed_csv(spark, path)
+
+
 @query("k5_split_export", with_listings("SELECT split, count(*) AS n FROM (SELECT CASE WHEN l_linenumber <= 1 THEN 'test' WHEN l_linenumber = 2 THEN 'val' ELSE 'train' END AS split FROM listings) GROUP BY 1"))
 def k5(spark, sf):
     path = scratch(spark, "split")

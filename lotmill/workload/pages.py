@@ -63,7 +63,8 @@ _CUT = r"""cut AS (SELECT page_id, html, regexp_replace(html, '(?s)<!--.*?-->|<s
 
 
 def _decoded(text: str) -> str:
-    return f"replace(replace(replace(replace({text}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+    # HTML reads &amp without a semicolon, too
+    return f"regexp_replace(replace(replace(replace({text}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;?', '&', 'g')"
 
 
 def _trees(spark, sf):
