@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lotmill.functions.numeric import tier_code
 from lotmill.operators import encode, sampling, selection
-from lotmill.operators.smote import smote
+from lotmill.operators.smote import nearest_neighbours, smote
 from lotmill.workload.listings import KEYS, listings, table, with_listings
 from lotmill.workload.registry import query
 
@@ -84,12 +84,31 @@ def folds(spark, sf):
 @query("m7_smote_class_sizes", """WITH g AS (SELECT CASE WHEN label < 2 THEN 0 WHEN label < 5 THEN 1 ELSE 2 END AS label FROM embeddings)
 SELECT label, (SELECT max(n) FROM (SELECT count(*) AS n FROM g GROUP BY label)) AS n FROM g GROUP BY 1""")
 def m7(spark, sf):
-    names = [f"e{i}" for i in range(16)]
-    group = F.when(F.col("label") < 2, 0).when(F.col("label") < 5, 1).otherwise(2).alias("label")
-    rows = table(spark, sf, "embeddings").select(group, *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)])
+    rows = _vectors(spark, sf)
+    names = [f"e{i}" for i in range(rows.select(F.max(F.size("x"))).first()[0])]
+    rows = rows.select("label", *[F.col("x")[i].alias(c) for i, c in enumerate(names)])
     return smote(rows, names, "label").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _vectors(spark, sf):
+    group = F.when(F.col("label") < 2, 0).when(F.col("label") < 5, 1).otherwise(2).alias("label")
+    return table(spark, sf, "embeddings").select("vec_id", group, F.col("embedding").cast("array<double>").alias("x"))
+
+
+@query("m7_class_neighbours", """WITH g AS (SELECT vec_id, CASE WHEN label < 2 THEN 0 WHEN label < 5 THEN 1 ELSE 2 END AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
+SELECT label, vec_id, CAST(r AS INTEGER) AS rank, round(d, 6) AS d FROM (SELECT a.label, a.vec_id, list_distance(a.x, b.x) AS d, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x)) AS r
+ FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id) WHERE r <= 5""")
+def m7_neighbours(spark, sf):
+    """The distances of every vector's five nearest of its class, over all components."""
+    rows, out = _vectors(spark, sf), None
+    for label in (0, 1, 2):
+        near = nearest_neighbours(rows.where(F.col("label") == label).select(F.col("vec_id").alias("id"), "x", F.lit(1).alias("n")))
+        one = near.select(F.lit(label).alias("label"), F.col("id").alias("vec_id"), F.posexplode("near").alias("pos", "e"))
+        one = one.select("label", "vec_id", (F.col("pos") + 1).alias("rank"), F.round("e.d", 6).alias("d"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("m8_impute_and_scale", with_listings("""SELECT l_orderkey, l_partkey, round((price - avg(price) OVER ()) / stddev_pop(price) OVER (), 6) AS price, round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 6) AS power FROM (SELECT *, coalesce(nullif(power, 0), (SELECT median(nullif(power, 0)) FROM listings)) AS p FROM listings)"""))
 def m8(spark, sf):
     rows = listings(spark, sf, "l_orderkey", "l_partkey", "price", "power").withColumn("power", F.nullif(F.col("power"), F.lit(0.0)))
