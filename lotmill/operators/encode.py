@@ -14,7 +14,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.functions.numeric import per_unit, to_number, vehicle_age
+from lotmill.functions.numeric import known, per_unit, to_number, vehicle_age
 from lotmill.operators.fixed import Fixed
 from lotmill.operators.lookups import attach, frequency_table
 from lotmill.operators.order_stats import quantile_row
@@ -196,6 +196,62 @@ def impute_and_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     })
 
 
+class Preprocessor:
+    """Fills and scales numbers, fills categories by their most frequent value, and sets a 0/1 entry per level.
+
+    Numbers: missing ones take the exact median of the fitted table, then mean 0 and population deviation 1 (constant
+    columns become 0). Categories: missing ones take the most frequent value, ties the smallest; levels are those of the
+    filled fitted table in order of name, and an unseen value gets no entry. The entries are the places of the
+    ones in increasing order (a sparse row), so the number of levels sets no width of the table. A column without any value keeps its nulls and has no levels.
+    """
+
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], output: str = "levels"):
+        self.numeric, self.categorical, self.output = list(numeric), list(categorical), output
+
+    def fit(self, df: DataFrame) -> "Preprocessor":
+        names = {f"n{i}": c for i, c in enumerate(self.numeric)}
+        numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(n) for n, c in names.items()])
+        if names:
+            medians = quantile_row(numbers, list(names), {"median": 0.5})
+            self.medians = {c: medians.value(f"{n}_median") for n, c in names.items()}
+            filled = [F.coalesce(known(n), F.lit(self.medians[c]).cast("double")) for n, c in names.items()]
+            row = numbers.agg(*[F.struct(F.avg(v).alias("m"), F.stddev_pop(v).alias("s")).alias(n) for n, v in zip(names, filled)]).first()
+            self.scales = {c: (row[n]["m"], row[n]["s"] or 1.0) for n, c in names.items()}
+        self.levels, self.modes = {}, {}
+        if self.categorical:
+            cells = {f"c{i}": c for i, c in enumerate(self.categorical)}
+            long = df.select(*[F.col(f"`{c}`").cast("string").alias(n) for n, c in cells.items()]).unpivot([], list(cells), "column", "value")
+            # the levels of the categories, which the vector needs by name on the driver
+            rows = long.where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+            for n, c in cells.items():
+                own = sorted((r["value"], r["n"]) for r in rows if r["column"] == n)
+                self.levels[c] = [v for v, _ in own]
+                self.modes[c] = min(own, key=lambda e: (-e[1], e[0]))[0] if own else None
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Columns of their names replaced, ``output`` added: levels of the first category first."""
+        new = {}
+        for c in self.numeric:
+            mean, scale = self.scales[c]
+            value = F.coalesce(known(F.col(f"`{c}`").cast("double")), F.lit(self.medians[c]).cast("double"))
+            new[c] = (value - F.lit(mean).cast("double")) / F.lit(scale).cast("double")
+        for c in self.categorical:
+            new[c] = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(self.modes[c]).cast("string"))
+        out = df.withColumns(new)
+        start, entries = 0, []
+        for c in self.categorical:
+            levels = self.levels[c]
+            place = F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(f"`{c}`")) if levels else F.lit(0)
+            entries.append(F.when(place > 0, (place - 1 + start).cast("int")))
+            start += len(levels)
+        return out.withColumn(self.output, F.array_compact(F.array(*entries)) if entries else F.array().cast("array<int>"))
+
+    def level_names(self) -> list[str]:
+        """Names of the places that ``output`` holds."""
+        return [f"{c}_{v}" for c in self.categorical for v in self.levels[c]]
+
+
 CATEGORIES = ["vehicleType", "gearbox", "fuelType", "seller", "dataSource"]
 
 

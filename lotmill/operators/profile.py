@@ -299,3 +299,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def other_columns(df: DataFrame) -> list[str]:
     numeric = set(numeric_columns(df))
     return [c for c in df.columns if c not in numeric]
+
+
+def eda_tables(df: DataFrame, price: str = "price", tier: str = "price_tier", scatter: Sequence[str] = ("kilometer", "price"),
+               bins: int = 50, sample: int = 1000, seed: int = 42) -> dict[str, DataFrame]:
+    """The tables behind an overview: price histogram (empty bins included), tier counts with shares, and ``sample`` points
+    of complete rows (all of them, if fewer)."""
+    from lotmill.operators.sampling import sample_rows
+
+    points = df.select(*scatter, tier).dropna()
+    return {"histogram": full_histogram(df, price, bins), "tiers": shares(df, tier), "scatter": sample_rows(points, sample, seed)}

@@ -47,7 +47,7 @@ def predict_table(spark: SparkSession, in_path: str, model_path: str, out_path:
     return scored
 
 
-def predict_one(spark: SparkSession, model: PipelineModel, **listing) -> dict:
+def predict_one(spark: SparkSession, model: PipelineModel, /, **listing) -> dict:
     """Score one record given by column name: tier, confidence and probability per tier."""
     kinds = {"power": "double", "kilometer": "double", "yearOfRegistration": "int"}
     columns = [c for c in rules.LISTING_COLUMNS if c not in ("price", "price_tier")]

@@ -116,6 +116,19 @@ def m8(spark, sf):
     return out.withColumns({"price": F.round("price", 6), "power": F.round("power", 6)})
 
 
+@query("m8_preprocessed", with_listings("""SELECT l_orderkey, l_partkey, round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 6) AS power, k AS "vehicleType", g AS gearbox, concat_ws(' ', dense_rank() OVER (ORDER BY k) - 1, (SELECT count(DISTINCT k) FROM filled) + dense_rank() OVER (ORDER BY g) - 1) AS levels FROM filled""",
+"""gaps AS (SELECT l_orderkey, l_partkey, nullif(power, 0) AS power, CASE WHEN l_linenumber <> 2 THEN "vehicleType" END AS k, CASE WHEN l_linenumber <> 3 THEN gearbox END AS g FROM listings)""",
+"""filled AS (SELECT l_orderkey, l_partkey, coalesce(power, (SELECT median(power) FROM gaps)) AS p, coalesce(k, (SELECT k FROM gaps WHERE k IS NOT NULL GROUP BY k ORDER BY count(*) DESC, k LIMIT 1)) AS k,
+ coalesce(g, (SELECT g FROM gaps WHERE g IS NOT NULL GROUP BY g ORDER BY count(*) DESC, g LIMIT 1)) AS g FROM gaps)"""))
+def m8_preprocessed(spark, sf):
+    no = F.col("l_linenumber")
+    rows = listings(spark, sf, "l_orderkey", "l_partkey", "l_linenumber", "power", "vehicleType", "gearbox").withColumns({
+        "power": F.nullif(F.col("power"), F.lit(0.0)), "vehicleType": F.when(no != 2, F.col("vehicleType")), "gearbox": F.when(no != 3, F.col("gearbox"))})
+    rows = rows.drop("l_linenumber")
+    out = encode.Preprocessor(["power"], ["vehicleType", "gearbox"]).fit(rows).transform(rows)
+    return out.withColumns({"power": F.round("power", 6), "levels": F.array_join(F.col("levels").cast("array<string>"), " ")})
+
+
 @query("documented_features", with_listings(f"""SELECT {_KEYS}, CAST(gearbox = 'automatik' AS INTEGER) AS "isAutomatic", CAST(greatest(0, 2000 - "yearOfRegistration") >= 30 AS INTEGER) AS "isVintageClassic", round(ln(1 + power), 6) AS log_power, round(power / (greatest(0, 2000 - "yearOfRegistration") + 1), 6) AS power_per_age, CASE WHEN power < 100 THEN 'low' WHEN power < 200 THEN 'mid' ELSE 'high' END AS "powerTierBin" FROM listings"""))
 def documented(spark, sf):
     from lotmill import rules

@@ -190,6 +190,11 @@ def d6(spark, sf):
     return profile.shares(cleaned_listings(spark, sf), "price_tier")
 
 
+@query("d6_eda_price_histogram", with_listings("""SELECT CAST(b.range AS INTEGER) AS bin, count(price) AS n FROM range(50) b LEFT JOIN (SELECT price, least(CAST(floor((price - lo) / ((hi - lo) / 50.0e0)) AS BIGINT), 49) AS bin FROM cleaned, (SELECT min(price) AS lo, max(price) AS hi FROM cleaned)) ON bin = b.range GROUP BY 1""", *cleaned_ctes()))
+def d6_histogram(spark, sf):
+    return profile.eda_tables(cleaned_listings(spark, sf))["histogram"]
+
+
 @query("tier_medians", with_listings("SELECT price_tier, round(median(price), 4) AS median_price, round(median(power), 4) AS median_power, round(median(kilometer), 4) AS median_kilometer, round(median(\"yearOfRegistration\"), 4) AS \"median_yearOfRegistration\" FROM listings GROUP BY 1"))
 def tier_medians(spark, sf):
     out = profile.tier_profile(listings(spark, sf, "price_tier", *_NUM))
