@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from lotmill.operators import metrics, ranking
@@ -81,7 +82,8 @@ _RUN_CTES = [
 
 def runs(spark, sf):
     parts = run_predictions(spark, sf).withColumn("part", F.when(F.col("l_linenumber") <= 3, "val").otherwise("test"))
-    scored = metrics.evaluate(parts, by=["model", "dataset", "part"])
+    # rows per run and part, kept: ranking looks at them several times
+    scored = metrics.evaluate(parts, by=["model", "dataset", "part"]).persist(StorageLevel.MEMORY_AND_DISK)
     r = lambda c: F.round(c, 6)
     val = scored.where(F.col("part") == "val").select("model", "dataset", r("macro_f1").alias("val_f1"))
     test = scored.where(F.col("part") == "test").select(

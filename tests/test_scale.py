@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lotmill.workload import modelling
+from lotmill.workload import evaluation, modelling
 from lotmill.workload.listings import LISTING, complete, listings
 
 
@@ -44,3 +44,9 @@ def test_texts_of_parts_and_unused_columns_stay_out_of_shuffles(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "IsNotNull(o_totalprice)" in text and "IsNotNull(c_mktsegment)" in text  # tested where they are read
     assert text.count("Exchange hashpartitioning(l_") == 2  # lines by order, then by part
+
+
+def test_run_results_are_computed_once(spark, tables):
+    found = evaluation.runs(spark, tables)
+    assert "InMemoryTableScan" in plan(found)
+    assert "lineitem" not in plan(found).split("InMemoryTableScan")[0]
