@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from lotmill.operators.sampling import stratified_split
 from lotmill.workload import evaluation, modelling
 from lotmill.workload.listings import LISTING, complete, listings
 
@@ -50,3 +51,10 @@ def test_run_results_are_computed_once(spark, tables):
     found = evaluation.runs(spark, tables)
     assert "InMemoryTableScan" in plan(found)
     assert "lineitem" not in plan(found).split("InMemoryTableScan")[0]
+
+
+def test_split_counts_copies_once_in_a_written_table(spark):
+    rows = spark.range(200).select((F.col("id") % 40).alias("x"), (F.col("id") % 2).cast("double").alias("label"))
+    split = stratified_split(rows, "label")
+    assert "lotmill-copies-" in plan(split)
+    assert {r["split"]: r["count"] for r in split.groupBy("split").count().collect()} == {"test": 40, "val": 40, "train": 120}
