@@ -271,3 +271,13 @@ def test_squared_hinge_scores_and_saves(spark, sample, tmp_path):
         assert all(want[tuple(r["features"])] == r["prediction"] for r in m.transform(df).collect())
     with pytest.raises(ValueError):
         SquaredHingeSVM().fit(df.limit(0))
+
+
+def test_packed_rows_come_back_from_slices_and_empty_columns():
+    from lotmill.operators.bins import packed, unpacked
+
+    for kind in ("u1", "<f8"):
+        rows = np.arange(12).reshape(4, 3).astype(kind)
+        column = packed(rows)
+        assert (unpacked(column, kind, 3) == rows).all() and (unpacked(column.slice(1, 2), kind, 3) == rows[1:3]).all()
+        assert unpacked(column.slice(0, 0), kind, 3).shape == (0, 3)
