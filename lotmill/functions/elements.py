@@ -10,15 +10,14 @@ and end tags without a start leave no node. Elements without end tags follow HTM
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lotmill.functions.text import _col, strip
 
@@ -28,6 +27,8 @@ NODES = T.ArrayType(T.StructType([
     T.StructField("id", T.IntegerType()), T.StructField("parent", T.IntegerType()), T.StructField("last", T.IntegerType()),
     T.StructField("tag", T.StringType()), T.StructField("attributes", T.MapType(T.StringType(), T.StringType())), T.StructField("text", T.StringType())]))
 
+PAGES_AT_ONCE = 64
+
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -106,10 +107,17 @@ def nodes_of(page: str | None) -> list[dict] | None:
     return parser.rows
 
 
-@pandas_udf(NODES)
-def _trees(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in pages:
-        yield batch.map(nodes_of)
+def _as_arrow(pages: list[str | None], kind: pa.DataType) -> pa.Array:
+    trees = map(nodes_of, pages)
+    return pa.array([t and [{**n, "attributes": None if n["attributes"] is None else list(n["attributes"].items())} for n in t] for t in trees], kind)
+
+
+@F.arrow_udf(NODES)
+def _trees(pages: pa.Array) -> pa.Array:
+    """A batch holds thousands of pages: only those of one slice are Python objects at a time."""
+    kind = to_arrow_type(NODES)
+    slices = [_as_arrow(pages.slice(i, PAGES_AT_ONCE).to_pylist(), kind) for i in range(0, len(pages), PAGES_AT_ONCE)]
+    return pa.concat_arrays(slices) if slices else pa.array([], kind)
 
 
 def element_tree(html: Column | str) -> Column:

@@ -83,3 +83,16 @@ def test_real_pages(spark):
         assert row["links"] == list(dict.fromkeys(u for u in expected if "/" in u))
         assert all(r["parent"] < r["id"] <= r["last"] for r in row["t"])
         assert sum(r["tag"] not in ("#text", "script", "style") for r in row["t"]) == len(re.findall(r"<[a-zA-Z]", cut))
+
+
+def test_a_batch_of_pages_is_cut_slice_by_slice(monkeypatch):
+    import pyarrow as pa
+
+    seen, whole = [], el._as_arrow
+    monkeypatch.setattr(el, "_as_arrow", lambda pages, kind: seen.append(len(pages)) or whole(pages, kind))
+    pages = [f"<p class='k'>{i}</p>" for i in range(el.PAGES_AT_ONCE * 2)] + [None, ""]
+    found = el._trees.func(pa.array(pages)).to_pylist()
+    assert max(seen) == el.PAGES_AT_ONCE and len(seen) == 3
+    assert found[-2:] == [None, []] and [f[1]["text"] for f in found[:-2]] == [str(i) for i in range(len(pages) - 2)]
+    assert found[0][0]["attributes"] == [("class", "k")]
+    assert len(el._trees.func(pa.array([], pa.string()))) == 0
