@@ -18,6 +18,7 @@ from lotmill.operators.lookups import attach
 from lotmill.operators.order_stats import quantile_row
 from lotmill.operators.project import require_columns
 from lotmill.operators.quality import rule_violations
+from lotmill.session import kept
 
 
 def coerce(df: DataFrame, columns: Sequence[str] = rules.LISTING_COLUMNS) -> DataFrame:
@@ -112,7 +113,7 @@ def clean(df: DataFrame, use_iqr_capping: bool = True) -> DataFrame:
     result itself) and are kept for that; the copy also keeps later null filters from being pushed
     down into, and repeating, the text expressions.
     """
-    ready = normalise_text(remove_invalid(coerce(df))).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = kept(normalise_text(remove_invalid(coerce(df))), "valid")
     done = fill_gaps(ready, numeric=())  # the domain filter leaves no null numbers
     if use_iqr_capping:
         done = cap_outliers(done, ["power", "kilometer", "yearOfRegistration"], statistics_from=ready)
