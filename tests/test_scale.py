@@ -5,7 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from lotmill.operators import metrics
 from lotmill.operators.sampling import stratified_split
+from lotmill.plans import clean as cleaning
 from lotmill.workload import evaluation, modelling
 from lotmill.workload.listings import LISTING, complete, listings
 
@@ -58,3 +60,14 @@ def test_split_counts_copies_once_in_a_written_table(spark):
     split = stratified_split(rows, "label")
     assert "lotmill-copies-" in plan(split)
     assert {r["split"]: r["count"] for r in split.groupBy("split").count().collect()} == {"test": 40, "val": 40, "train": 120}
+
+
+def test_predictions_are_computed_once_for_all_scores(spark):
+    rows = spark.range(30).select((F.col("id") % 3).cast("int").alias("y_true"), (F.col("id") % 3).cast("int").alias("y_pred"))
+    text = plan(metrics.evaluate(rows))
+    assert "InMemoryTableScan" in text and "Range" not in text.split("InMemoryTableScan")[0]
+
+
+def test_cleaning_keeps_its_valid_rows_in_a_written_table(spark, tables):
+    found = cleaning.clean(listings(spark, tables))
+    assert "lotmill-valid-" in plan(found) and found.count() > 0
