@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lotmill.operators import metrics
+from lotmill.operators import metrics, profile
 from lotmill.operators.sampling import stratified_split
 from lotmill.plans import clean as cleaning
 from lotmill.workload import evaluation, modelling
@@ -71,3 +71,9 @@ def test_predictions_are_computed_once_for_all_scores(spark):
 def test_cleaning_keeps_its_valid_rows_in_a_written_table(spark, tables):
     found = cleaning.clean(listings(spark, tables))
     assert "lotmill-valid-" in plan(found) and found.count() > 0
+
+
+def test_overviews_read_a_written_table(spark):
+    rows = spark.range(100).select(F.col("id").cast("double").alias("price"), F.lit("luxury").alias("price_tier"), F.lit(1.0).alias("kilometer"))
+    assert "lotmill-kpis-" in plan(profile.kpis(rows))
+    assert "lotmill-overview-" in plan(profile.eda_tables(rows)["tiers"])
