@@ -22,7 +22,7 @@ SAMPLE_CHARS = 16_000  # letters learned per language
 SHARE = SAMPLE_CHARS // 8  # characters taken of one text
 SAMPLE_TEXTS = 64  # texts looked at per language at first; eight times as many while they hold too few letters
 PIECE = 8_192
-BATCH = 8 << 20  # characters parsed side by side
+BATCH = 4 << 20  # characters parsed side by side
 
 PREDICTION = "lang_pred string, score double, bits double"
 
@@ -30,11 +30,10 @@ PREDICTION = "lang_pred string, score double, bits double"
 @functools.cache
 def _fold_table() -> tuple[np.ndarray, np.ndarray]:
     """Code point -> lower-cased code point, and -> is it a letter."""
-    points = [chr(c) for c in range(0x110000)]
-    letter = np.fromiter((c.isalpha() for c in points), bool, len(points))
-    lower = np.arange(len(points), dtype=np.uint32)
+    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    lower = np.arange(len(letter), dtype=np.uint32)
     at = np.flatnonzero(letter)
-    lower[at] = [ord(x) if len(x := points[c].lower()) == 1 else c for c in at]
+    lower[at] = [ord(x) if len(x := chr(c).lower()) == 1 else c for c in at]
     return lower, letter
 
 
@@ -193,7 +192,8 @@ def predicted(spark, samples: dict[str, str], text: Column) -> Column:
 
     ``und``, score 0 and null bits where the text is null or has no letter, or nothing was learned; equal
     entropies go to the language that sorts first. The score is the runner-up's share of both entropies
-    (0.5 for a tie), 1 if only one language was learned.
+    (0.5 for a tie), 1 if only one language was learned. Marked as not deterministic, so that a filter on the result
+    is not pushed below it, which would parse every text a second time.
     """
     shared = spark.sparkContext.broadcast(samples)
     key = hash(tuple(sorted(samples.items())))
@@ -205,7 +205,7 @@ def predicted(spark, samples: dict[str, str], text: Column) -> Column:
         for batch in batches:
             yield _parsers[key].predict(batch.where(batch.notna(), None).tolist())
 
-    return F.pandas_udf(run, PREDICTION)(text)
+    return F.pandas_udf(run, PREDICTION).asNondeterministic()(text)
 
 
 def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

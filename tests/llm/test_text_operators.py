@@ -476,3 +476,9 @@ def test_language_sample_takes_long_texts_and_skips_junk(spark):
     assert letters["en"] >= language_id.SAMPLE_CHARS and samples["en"].split().count("word") == 1 and letters["el"] == 1_000
     long = spark.createDataFrame([(1, prose(2_000, "de")), (2, prose(50))], "doc_id long, text string")
     assert {r.doc_id: r.lang_pred for r in language_id.identify(long, samples).collect()} == {1: "de", 2: "en"}
+
+
+def test_rows_with_a_language_are_parsed_once(spark, docs):
+    """A filter on the language found is not pushed below the parser, which would run on every text twice."""
+    plan = corpus_pipeline.language(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
