@@ -4,7 +4,8 @@ The split planes of all trees are fitted on a bounded sample; every vector is th
 A query walks all trees through one shared priority queue ordered by the worst margin on the way. How many leaves it
 takes is measured: for a bounded sample of queries the exact neighbours are found by comparing them with all vectors, and
 their places in the queues give the fewest leaves that hold TARGET of them; the rule is the same at every size. The leaves'
-vectors are reranked by exact inner products in double precision.
+vectors are reranked by exact inner products in double precision: the first leaves of a query (one per tree) give a score
+that k + 1 of its vectors reach, and of all further leaves only vectors that reach it leave their task.
 
 Largest inner product is turned into nearness by one more component, ``sqrt(M^2 - |x|^2)`` with the largest norm M, for
 routing only. Equal vectors are one candidate that carries its smallest ids, as no query needs more of them.
@@ -152,6 +153,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     sample = np.array([r["v"] for r in classes.orderBy(F.xxhash64("c", F.lit(seed))).limit(SAMPLE).select("v").collect()])
 
     def extended(x: np.ndarray, query: bool) -> np.ndarray:
+        x = x.astype(np.float64)
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, most**2 - (x**2).sum(axis=1)))
         return np.c_[x, more] / most
 
@@ -178,32 +180,47 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                 found = [forest.value.search(m, n_leaves) for m in margins]
                 reps = [len(f) for f in found]
                 flat = [x for f in found for x in f]
-                yield pd.DataFrame({"tree": [x[0] for x in flat], "leaf": [x[1] for x in flat], "q": np.repeat(part["q"].to_numpy(), reps),
-                                    "v": np.repeat(part["v"].to_numpy(), reps)})
+                yield pd.DataFrame({"tree": [x[0] for x in flat], "leaf": [x[1] for x in flat], "turn": [n for r in reps for n in range(r)],
+                                    "q": np.repeat(part["q"].to_numpy(), reps), "v": np.repeat(part["v"].to_numpy(), reps)})
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"q": [], "near": []})
-        ids, x = left["c"].to_numpy(), np.stack(left["v"])
-        q, y = right["q"].to_numpy(), np.stack(right["v"])
+        ids, x = left["c"].to_numpy(), np.stack(left["v"]).astype(np.float64)
+        q, y = right["q"].to_numpy(), np.stack(right["v"]).astype(np.float64)
+        least = right["least"].to_numpy() - 1e-9 * most * np.sqrt((y**2).sum(axis=1))  # products of other blocks may be rounded otherwise
         order = np.argsort(ids, kind="stable")
         ids, x = ids[order], x[order]
         out = []
         for at in range(0, len(q), 512):
             s = y[at:at + 512] @ x.T
             top = np.argsort(-s, axis=1, kind="stable")[:, :k + 1]
-            out += [[{"c": int(ids[j]), "score": float(s[i, j])} for j in top[i]] for i in range(len(s))]
+            out += [[{"c": int(ids[j]), "score": float(s[i, j])} for j in top[i] if s[i, j] >= least[at + i]] for i in range(len(s))]
         return pd.DataFrame({"q": q, "near": out})
 
-    homes = classes.select("c", "v").mapInPandas(route, "tree int, leaf long, c long, v array<double>")
-    visits = written(queries.select("q", "v").mapInPandas(walk, "tree int, leaf long, q long, v array<double>"), "visits")
-    crowds = written(visits.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).alias("parts")), "crowds")  # one row per leaf of the forest
-    homes = homes.join(crowds, ["tree", "leaf"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-    visits = visits.join(crowds, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("q"), F.col("parts"))).drop("parts")
+    plain = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"  # as wide as the vectors came
+    short = lambda df, c: df.select(c, F.col("v").cast(f"array<{plain}>").alias("v"))
+    homes = short(classes, "c").mapInPandas(route, f"tree int, leaf long, c long, v array<{plain}>")
+    visits = written(short(queries, "q").mapInPandas(walk, f"tree int, leaf long, turn int, q long, v array<{plain}>"), "visits")
     keys = ["tree", "leaf", "part"]
-    near = homes.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(rerank, "q long, near array<struct<c: long, score: double>>")
-    near = near.select("q", F.inline("near")).groupBy("q", "c").agg(F.max("score").alias("score"))
-    near = near.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(f"r <= {k + 1}")
+
+    def met(visits: DataFrame) -> DataFrame:
+        """(q, c, score) of up to k + 1 vectors per visit, none below the visit's ``least``."""
+        crowds = written(visits.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).alias("parts")), "crowds")  # one row per leaf of the forest
+        there = homes.join(crowds, ["tree", "leaf"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        here = visits.join(crowds, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("q"), F.col("parts"))).drop("parts")
+        near = there.groupBy(*keys).cogroup(here.groupBy(*keys)).applyInPandas(rerank, "q long, near array<struct<c: long, score: double>>")
+        return near.select("q", F.inline("near"))
+
+    nearest = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    near = met(visits.where(f"turn < {trees}").withColumn("least", F.lit(float("-inf")))).groupBy("q", "c").agg(F.max("score").alias("score"))
+    near = near.withColumn("r", F.row_number().over(nearest)).where(f"r <= {k + 1}").drop("r")
+    if n_leaves > trees:
+        near = written(near, "first")
+        least = near.groupBy("q").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(f"n > {k}").select("q", "least")
+        rest = visits.where(f"turn >= {trees}").join(least, "q", "left").fillna(float("-inf"), ["least"])
+        near = near.unionByName(written(met(rest), "further")).groupBy("q", "c").agg(F.max("score").alias("score"))
+        near = near.withColumn("r", F.row_number().over(nearest)).where(f"r <= {k + 1}")
     # exact scores in the order of the components, then the ids behind every class
     dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     pairs = near.select("q", "c").join(classes.select("c", F.col("v").alias("x"), "ids"), "c").join(queries.select("q", F.col("v").alias("y")), "q")

@@ -482,3 +482,22 @@ def test_rows_with_a_language_are_parsed_once(spark, docs):
     """A filter on the language found is not pushed below the parser, which would run on every text twice."""
     plan = corpus_pipeline.language(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_further_leaves_give_only_vectors_that_can_be_among_the_nearest(spark):
+    """Of the leaves behind the first ones no task hands out vectors below what the first ones hold."""
+    x = np.random.default_rng(5).standard_normal((6_000, 32)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    given = []
+
+    def noted(df, name, written=neighbours.written):
+        out = written(df, name)
+        if name == "further":
+            given.append(out.count())
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neighbours, "written", noted)
+        found = neighbours.search(frame, frame.vec_id % 50 == 0, leaf=32).collect()
+    asked = 120
+    assert len(found) == 20 * asked and given and given[0] < 21 * neighbours.TREES * asked
