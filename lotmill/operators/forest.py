@@ -20,12 +20,14 @@ from lotmill import rules
 from lotmill.functions.numeric import known
 from lotmill.operators.copies import number_copies
 from lotmill.operators.order_stats import ROWS_PER_BUCKET, quantile_columns, ranked_values
+from lotmill.session import kept
 
 # tasks get the functions of this module by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 256
-NODES = 511  # a binary tree of depth 8 in heap order
+DEPTH = 8
+NODES = 511  # a binary tree of this depth in heap order
 
 
 def average_path(n):
@@ -63,8 +65,17 @@ def fit_trees(df: DataFrame, columns: Sequence[str], rows: int, trees: int = 100
     # content and copy number decide, by one rule at every size: which trees a row may enter, and its place in their samples
     row = [*columns, "_copy"]
     share = min(1.0, 4.0 * SAMPLE / max(rows, 1))
-    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(*row, t, F.lit(seed)), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    drawn = number_copies(df.select(*columns), "_copy").select(*row, F.explode(mine).alias("tree"))
+    enters = lambda t: F.pmod(F.xxhash64(*row, t, F.lit(seed)), F.lit(1 << 30)) < F.lit(share * (1 << 30))
+    drawn = number_copies(df.select(*columns), "_copy")
+    if share < 1:
+        # one hash says how many trees a row misses before its first (a geometric number), so most rows end here; later trees are drawn one by one
+        missed = F.log((F.pmod(F.xxhash64(*row, F.lit(seed + 2)), F.lit(1 << 52)) + 1) / F.lit(float(1 << 52))) / F.lit(math.log1p(-share))
+        drawn = drawn.withColumn("_first", missed).where(F.col("_first") < trees).withColumn("_first", F.col("_first").cast("int"))
+        later = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: (t > F.col("_first")) & enters(t))
+        mine = F.concat(F.array("_first"), later)
+    else:
+        mine = F.sequence(F.lit(0), F.lit(trees - 1))
+    drawn = drawn.select(*row, F.explode(mine).alias("tree"))
     drawn = drawn.select(*columns, "tree", F.xxhash64(*row, "tree", F.lit(seed + 1)).alias("u"))
     width = len(columns)
 
@@ -85,24 +96,22 @@ def anomaly_scores(df: DataFrame, columns: Sequence[str], forest: list, take: in
     threshold = np.array([r["threshold"] for r in forest])
     length = np.array([r["length"] for r in forest])
     norm = float(average_path(take)) or 1.0
-    shared = df.sparkSession.sparkContext.broadcast((feature, threshold, length))
+    # a leaf leads to itself: nothing is above its threshold
+    inner, slots = feature >= 0, np.arange(NODES)
+    shared = df.sparkSession.sparkContext.broadcast((np.maximum(feature, 0).astype(np.int64), np.where(inner, threshold, np.inf), np.where(inner, 2 * slots + 1, slots), length))
 
     @F.pandas_udf("double")
     def score(*values: pd.Series) -> pd.Series:
-        feature, threshold, length = shared.value
-        points = np.column_stack([v.to_numpy(dtype=float) for v in values])
-        at_row = np.arange(len(points))
-        total = np.zeros(len(points))
-        for f, t, path in zip(feature, threshold, length):
-            slot = np.zeros(len(points), dtype=np.int64)
-            for _ in range(9):
-                split = f[slot]
-                inner = split >= 0
-                if not inner.any():
-                    break
-                right = points[at_row, np.maximum(split, 0)] > t[slot]
-                slot = np.where(inner, 2 * slot + 1 + right, slot)
-            total += path[slot]
+        feature, threshold, left, length = shared.value
+        flat = np.concatenate([v.to_numpy(dtype=float) for v in values])  # column after column
+        n = len(values[0])
+        at_row = np.arange(n)
+        total = np.zeros(n)
+        for column, t, to, path in zip(feature * n, threshold, left, length):
+            slot = np.zeros(n, dtype=np.int64)
+            for _ in range(DEPTH):
+                slot = to.take(slot) + (flat.take(column.take(slot) + at_row) > t.take(slot))
+            total += path.take(slot)
         return pd.Series(np.exp2(-(total / len(feature)) / norm))
 
     return df.withColumn("score", score(*[F.col(c) for c in columns]))
@@ -111,7 +120,7 @@ def anomaly_scores(df: DataFrame, columns: Sequence[str], forest: list, take: in
 def isolation_forest(df: DataFrame, columns: Sequence[str] = rules.NUMERIC_COLUMNS, contamination: float = 0.12,
                      trees: int = 100, seed: int = 42, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One report row: rows evaluated, outliers beyond the contamination quantile of the score."""
-    complete = df.select(*[known(c).alias(c) for c in columns]).dropna()
+    complete = kept(df.select(*[known(c).alias(c) for c in columns]).dropna(), "complete")  # counted, drawn from and scored
     rows = complete.count()
     fields = "rows long, outlier_count long, outlier_pct double, quality_score_pct double"
     if rows < 10:

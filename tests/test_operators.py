@@ -221,3 +221,20 @@ def test_exact_kolmogorov_distribution(spark):
     found = rows.select(exact_ks_p_values()("d", "n").alias("exact"), ks_p_value(F.col("d"), F.col("n")).alias("series")).collect()
     assert found[0]["exact"] == pytest.approx(found[0]["series"], abs=2e-4) and found[1]["exact"] == pytest.approx(0.3715203845, abs=1e-9)
     assert found[2]["exact"] is None
+
+
+def test_isolation_forest_computes_its_rows_once(spark):
+    """Counting, drawing and scoring read one table; more rows than a sample, so that most rows enter no tree."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    noted = counted.asNondeterministic()  # so that filters do not run it a second time
+    df = spark.range(0, 5_000, 1, 3).select(noted((F.col("id") * 37 % 1009).cast("double")).alias("a"), (F.col("id") * 11 % 97).cast("double").alias("b"))
+    got = forest.isolation_forest(df, ["a", "b"], trees=20).first()
+    assert got["rows"] == 5_000 and seen.value == 5_000
+    drawn = forest.fit_trees(spark.range(0, 40_000).select(F.col("id").cast("double").alias("a")), ["a"], 40_000, trees=30)
+    assert [r["tree"] for r in drawn] == list(range(30)) and all(r["feature"][0] == 0 for r in drawn)
