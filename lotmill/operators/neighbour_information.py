@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lotmill.operators.order_stats import ROWS_PER_BUCKET, fit_buckets, value_counts
-from lotmill.session import written
+from lotmill.operators.order_stats import fit_buckets, value_counts
+from lotmill.session import kept, written
 
 _SHIFT = 8
+ROWS_PER_BUCKET = 250_000  # a bucket is sorted three times in one task, so it is smaller than those of plain ranks
 
 
 def digamma(n: Column) -> Column:
@@ -44,13 +45,14 @@ def _surroundings(counts: DataFrame, k: int) -> DataFrame:
     """Adds ``before`` and ``after``: the k distinct values of the class next to each value, as (value, n), nearest first."""
     group = ["column", "_y"]
     entry = F.struct("value", "n")
-    up, down = W.partitionBy(*group, "bucket").orderBy("value"), W.partitionBy(*group, "bucket").orderBy(F.desc("value"))
-    near = lambda w: F.reverse(F.collect_list(entry).over(w.rowsBetween(-k, -1)))
-    local = counts.withColumns({"_first": F.row_number().over(up), "_before": near(up)})
-    local = local.withColumns({"_last": F.row_number().over(down), "_after": near(down)})
-    edges = local.where(f"_first <= {k} OR _last <= {k}").select(*group, "bucket", "value", "n", "_first", "_last")
-    across_up, across_down = W.partitionBy(*group).orderBy("value"), W.partitionBy(*group).orderBy(F.desc("value"))
-    edges = edges.withColumns({"_left": near(across_up), "_right": near(across_down)})
+    here, across = W.partitionBy(*group, "bucket"), W.partitionBy(*group)
+    # one order serves both sides, so that each table is sorted once
+    before = lambda w: F.reverse(F.collect_list(entry).over(w.orderBy("value").rowsBetween(-k, -1)))
+    after = lambda w: F.collect_list(entry).over(w.orderBy("value").rowsBetween(1, k))
+    local = counts.withColumns({"_first": F.row_number().over(here.orderBy("value")), "_before": before(here), "_after": after(here)})
+    local = local.withColumn("_last", F.when(F.size("_after") < k, F.size("_after") + 1))  # null where k values or more follow
+    edges = local.where(f"_first <= {k} OR _last IS NOT NULL").select(*group, "bucket", "value", "n", "_first", "_last")
+    edges = edges.withColumns({"_left": before(across), "_right": after(across)})
     borders = edges.groupBy(*group, "bucket").agg(
         F.max(F.when(F.col("_first") == 1, F.col("_left"))).alias("_left"), F.max(F.when(F.col("_last") == 1, F.col("_right"))).alias("_right"))
     return local.join(borders, [*group, "bucket"]).select(
@@ -84,6 +86,7 @@ def neighbour_information(df: DataFrame, features: Sequence[str], label: str, k:
     names = {f"f{i}": c for i, c in enumerate(features)}
     # adding 0 turns -0.0 into 0.0, which range buckets would tell apart
     slim = df.select(F.col(f"`{label}`").alias("_y"), *[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f) for f, c in names.items()]).where("_y IS NOT NULL")
+    slim = kept(slim, "numbers")
     cuts = fit_buckets(slim, list(names), rows_per_bucket)
     counts = value_counts(slim, list(names), ["_y"], cuts)
     sizes = counts.groupBy("column", "_y").agg(F.sum("n").alias("size")).where("size > 1")  # features x classes rows

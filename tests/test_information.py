@@ -77,3 +77,19 @@ def test_selector_ranks_the_related_feature_first(spark):
     df = spark.createDataFrame(rows, "label int, even double, moved double")
     assert FeatureSelector("mutual_info", k=1).fit(df, ["even", "moved"]).selected == ["moved"]
     assert FeatureSelector("binned_info", k=1).fit(df, ["even", "moved"]).selected == ["moved"]
+
+
+def test_neighbour_information_computes_its_rows_once(spark):
+    """Bucket borders and counts read one table, and small buckets give the same score."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    noted = counted.asNondeterministic()  # so that filters do not run it a second time
+    rows = spark.range(0, 4_000, 1, 3).select((F.col("id") * 37 % 1009).cast("double").alias("a"), (F.col("id") % 3).alias("y"))
+    one = neighbour_information(rows.select(noted("a").alias("a"), "y"), ["a"], "y", rows_per_bucket=100).first()
+    assert seen.value == 4_000
+    assert one["score"] == pytest.approx(neighbour_information(rows, ["a"], "y", rows_per_bucket=10_000).first()["score"], abs=1e-9)
