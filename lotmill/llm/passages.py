@@ -177,7 +177,7 @@ def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
 
 def _repeated_stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
     """Stretches whose band key occurs at two places apart, in the columns of ``_paragraphs``."""
-    all_ = written(_stretches(docs, k, span), "stretches")
+    all_ = _stretches(docs, k, span)  # most occur once; they are cut twice and never written
     keys = written(all_.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "keys")  # narrow rows first
     again = written(all_.join(small(keys), "key", "left_semi"), "again")
     places = again.groupBy("key").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.col("start") + F.col("length")).alias("end"), F.max("start").alias("last"))

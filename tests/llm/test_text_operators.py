@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lotmill.llm import decontaminate, features, language_id, mixing, neighbours, passages, pseudonyms, quality, shingle_join, token_counts, toxicity
@@ -501,3 +502,16 @@ def test_further_leaves_give_only_vectors_that_can_be_among_the_nearest(spark):
         found = neighbours.search(frame, frame.vec_id % 50 == 0, leaf=32).collect()
     asked = 120
     assert len(found) == 20 * asked and given and given[0] < 21 * neighbours.TREES * asked
+
+
+def test_stretches_that_occur_once_are_never_written(spark, docs):
+    tables = []
+
+    def noted(df, name, written=passages.written):
+        tables.append(name)
+        return written(df, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(passages, "written", noted)
+        passages._repeated_stretches(docs.select(F.col("doc_id").alias("doc"), "text", F.xxhash64("text").alias("tid")).where("doc IS NOT NULL AND text IS NOT NULL"), 5, 30)
+    assert "again" in tables and "stretches" not in tables
