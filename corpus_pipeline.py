@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotmill.llm import decontaminate, language_id, mixing, pseudonyms, shingle_join
-from lotmill.llm.common import small, table, without_ids, written
+from lotmill.llm.common import dropped, small, table, without_ids, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +20,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group (shingles of five words, similarity 0.8); of rows that repeat id and text, one."""
-    classes = written(shingle_join.jaccard_classes(docs, k=5, percent=80), "classes")
+    classes = shingle_join.jaccard_classes(docs, k=5, percent=80)  # a written table
     kept = without_ids(docs, "doc_id", classes.where("doc_id <> component_id").select("doc_id"))
     again = small(written(classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id")), "again"))
+    dropped(classes)
     if again.isEmpty():
         return kept
     repeats = kept["doc_id"] == again["again_id"]

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import components, small, without_ids, written
+from lotmill.llm.common import components, dropped, small, without_ids, written
 from lotmill.llm.words import shingle_sets, slices
 
 BUCKETS = 1 << 20  # entries of the count table, whatever the input
@@ -178,7 +178,7 @@ def _near(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs that are linked, decided on the full sets, which are made anew for the documents in question."""
+    """Pairs that are linked, as a written table, decided on the full sets, which are made anew for the documents in question."""
 
     def sets(batches):
         for ids, texts in _parts(batches):
@@ -186,12 +186,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
             yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.list_(pa.int64()))], names=["id", "members"])
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = small(written(wanted, "verified_ids"))  # texts stay where they are while these are few
     full = written(docs.join(wanted, "id", "left_semi").select("id", "text").dropDuplicates(["id"]).mapInArrow(sets, "id long, members array<long>"), "sets")
     a = full.select(F.col("id").alias("a"), F.col("members").alias("sa"))
     b = full.select(F.col("id").alias("b"), F.col("members").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     joined = pairs.join(a, "a").join(b, "b").withColumn("o", both)
-    return joined.where((100 + percent) * F.col("o") >= percent * (F.size("sa") + F.size("sb"))).select("a", "b")
+    linked = written(joined.where((100 + percent) * F.col("o") >= percent * (F.size("sa") + F.size("sb"))).select("a", "b"), "linked")
+    dropped(full, wanted)
+    return linked
 
 
 def _long_list_pairs(lists: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
@@ -243,8 +246,12 @@ def linked_by_lists(lists: DataFrame, facts: DataFrame, docs: DataFrame, k: int,
     the members. ``more`` holds links (a, b) known beforehand; pairs of sets up to ``boundary`` are left to them.
     """
     pairs = lists.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(written(_near(pairs, facts, percent), "stars"), docs, k, percent)
-    links = written(links.unionByName(more) if more is not None else links, "links")
+    stars = written(_near(pairs, facts, percent), "stars")
+    links = _verified(stars, docs, k, percent)
+    dropped(stars)
+    if more is not None:
+        linked, links = links, written(links.unionByName(more), "links")
+        dropped(linked)
     labels = components(links)
 
     labelled = _mixed(lists, labels)
@@ -254,7 +261,10 @@ def linked_by_lists(lists: DataFrame, facts: DataFrame, docs: DataFrame, k: int,
             break
         other = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("h"), "id", "label")).alias("o"))
         pairs = long.join(other, "key").where("label <> o.label").select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
-        links = written(links.unionByName(_verified(written(_near(pairs, facts, percent), "stars"), docs, k, percent)), "links")
+        stars = written(_near(pairs, facts, percent), "stars")
+        linked = _verified(stars, docs, k, percent)
+        last, links = links, written(links.unionByName(linked), "links")
+        dropped(stars, linked, last, labels, labelled)
         labels = components(links)
         labelled = _mixed(lists, labels)
     short = labelled.where(f"m <= {SHORT_LIST}").select("key", "id", "n", "label")
@@ -263,8 +273,16 @@ def linked_by_lists(lists: DataFrame, facts: DataFrame, docs: DataFrame, k: int,
     pairs = short.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("label") != F.col("label_b")) & close)
     pairs = pairs.where(f"greatest(n, nb) > {boundary}").select(F.col("id").alias("a"), "b").distinct()
     rest = _near(pairs, facts, percent).unionByName(_long_list_pairs(labelled.where(f"m > {SHORT_LIST}"), facts, percent)).distinct()
-    rest = written(_verified(written(rest, "rest"), docs, k, percent), "rest_links")
-    return labels if rest.isEmpty() else components(links.unionByName(rest))
+    rest = written(rest, "rest")
+    dropped(labelled)
+    linked = _verified(rest, docs, k, percent)
+    dropped(rest)
+    if linked.isEmpty():
+        dropped(links, linked)
+        return labels
+    found = components(links.unionByName(linked))
+    dropped(labels, links, linked)
+    return found
 
 
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,21 +297,28 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
     levels = spark.sparkContext.broadcast(_levels(docs, k))
     facts = written(_features(docs, k, percent, levels), "facts")
-    reps = written(facts.where("n > 0").groupBy("low", "high").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
-    copies = facts.select("id", "low", "high").join(reps, ["low", "high"]).where("id <> rep").select("id")
+    names = written(facts.select("id", "n", "low", "high"), "names")  # the wide rows go before the sets are compared
+    reps = written(names.where("n > 0").groupBy("low", "high").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "reps")
+    copies = names.select("id", "low", "high").join(reps, ["low", "high"]).where("id <> rep").select("id")
     chosen = without_ids(facts.where("n > 0"), "id", copies)  # wide rows stay where they are while the copies are few
 
     # counts combine map-side; the join back is a plain one, so that adaptive execution splits a hot shingle
     entries = chosen.select("id", F.explode("prefix").alias("key"))
     heads = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead")).where("m > 1")
-    lists = written(entries.join(small(written(heads, "heads")), "key"), "lists")
+    heads = small(written(heads, "heads"))
+    lists = written(entries.join(heads, "key"), "lists")
     small_sets = reps.where(f"n <= {MAX_BOUNDARY}").select(F.col("rep").alias("id"))
     wanted = small(written(lists.select("id").union(small_sets).distinct(), "listed"))
     chosen = written(chosen.select("id", "n", "small", "bits").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "chosen")
-    lists = written(lists.join(small(chosen.select("id", "n")), "id"), "sized")
+    dropped(facts, heads, wanted)
+    lists, listed = written(lists.join(small(chosen.select("id", "n")), "id"), "sized"), lists
+    dropped(listed)
     boundary = _boundary(reps, lists, percent)
     more = _subset_links(chosen.where(f"n <= {boundary}"), boundary, percent)
     found = linked_by_lists(lists, chosen.select("id", "n", "bits"), docs, k, percent, more, boundary)
+    dropped(lists, chosen)
     named = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("low", "high", F.coalesce("component", "rep").alias("component"))
-    out = facts.select("id", "n", "low", "high").join(named, ["low", "high"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    out = names.join(named, ["low", "high"], "left")
+    out = written(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")), "classes")
+    dropped(names, reps, found)
+    return out
