@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotmill.llm.common import small, written
+from lotmill.llm.common import dropped, small, written
 from lotmill.llm.shingle_join import linked_by_lists, parity_bits
 from lotmill.llm.words import bytes_of, mix, shingle_hashes, shingle_sets, slices, word_hashes, word_spans
 
@@ -175,16 +175,19 @@ def _stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
     return docs.mapInArrow(rows, "doc long, start int, length int, low long, key long, tid long, word int, size int, gap long")
 
 
-def _repeated_stretches(docs: DataFrame, k: int, span: int) -> DataFrame:
-    """Stretches whose band key occurs at two places apart, in the columns of ``_paragraphs``."""
+def _repeated_stretches(docs: DataFrame, k: int, span: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Stretches whose band key occurs at two places apart, in the columns of ``_paragraphs``, and the written tables they are read from."""
     all_ = _stretches(docs, k, span)  # most occur once; they are cut twice and never written
     keys = written(all_.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "keys")  # narrow rows first
     again = written(all_.join(small(keys), "key", "left_semi"), "again")
+    dropped(keys)
     places = again.groupBy("key").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min(F.col("start") + F.col("length")).alias("end"), F.max("start").alias("last"))
     once = places.where("d0 = d1 AND end > last").select("key")
-    again = again.join(small(written(once, "once")), "key", "left_anti")
-    return again.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", F.col("key").alias("high"), F.array("key").alias("bands"),
-                        "tid", "word", "size", "gap")
+    once = written(once, "once")
+    found = again.join(small(once), "key", "left_anti")
+    found = found.select("doc", F.lit(-1).alias("para"), "start", "length", F.lit(2 * REACH + 1).alias("words"), "low", F.col("key").alias("high"), F.array("key").alias("bands"),
+                         "tid", "word", "size", "gap")
+    return found, [again, once]
 
 
 def _sides(docs: DataFrame, ends: DataFrame, most: int) -> DataFrame:
@@ -219,7 +222,9 @@ def _sides(docs: DataFrame, ends: DataFrame, most: int) -> DataFrame:
     ends = written(ends.groupBy("doc", "tid").agg(F.collect_set(F.struct("word", "right")).alias("wanted")), "ends")  # no more than two per word
     texts = docs.join(small(ends.select("doc", "tid")), ["doc", "tid"], "left_semi").select("doc", "tid", "text").dropDuplicates(["doc", "tid"])
     joined = texts.join(ends, ["doc", "tid"]).select("doc", "tid", "text", "wanted")
-    return written(joined.mapInArrow(rows, "doc long, tid long, word int, right boolean, held binary, chars array<int>"), "sides")
+    sides = written(joined.mapInArrow(rows, "doc long, tid long, word int, right boolean, held binary, chars array<int>"), "sides")
+    dropped(ends)
+    return sides
 
 
 def _equal_words(one: pd.Series, other: pd.Series) -> pd.Series:
@@ -247,25 +252,43 @@ def _whole(docs: DataFrame, hits: DataFrame, span: int) -> DataFrame:
     joined = F.coalesce((before >= F.col("word")) | (F.col("same_gap") & (before + F.col("size") == F.col("word"))), F.lit(False))
     runs = hits.withColumn("run", (~joined).cast("int")).withColumn("run", F.sum("run").over(order))
     runs = runs.groupBy(*pair, "run").agg(F.min("word").alias("w0"), F.max(F.col("word") + F.col("words")).alias("w1"))
-    runs = written(runs.withColumn("l0", F.col("w0") - F.col("shift")).withColumn("l1", F.col("w1") - F.col("shift")), "runs")
+    runs = stored = written(runs.withColumn("l0", F.col("w0") - F.col("shift")).withColumn("l1", F.col("w1") - F.col("shift")), "runs")
     ends = None
     for doc, tid, word, right in [("doc", "tid", "w0", False), ("doc", "tid", "w1", True), ("l_doc", "l_tid", "l0", False), ("l_doc", "l_tid", "l1", True)]:
         some = runs.select(F.col(doc).alias("doc"), F.col(tid).alias("tid"), F.col(word).alias("word"), F.lit(right).alias("right"))
         ends = some if ends is None else ends.unionByName(some)
     sides = _sides(docs, ends.distinct(), span)
-    for name, doc, tid, word, right in [("a", "doc", "tid", "w0", False), ("b", "doc", "tid", "w1", True), ("c", "l_doc", "l_tid", "l0", False), ("d", "l_doc", "l_tid", "l1", True)]:
-        side = sides.where(F.col("right") == right).select(F.col("doc").alias(doc), F.col("tid").alias(tid), F.col("word").alias(word), F.struct("held", "chars").alias(name))
-        runs = runs.join(side, [doc, tid, word])
     # inside one document the copy must not run into its first occurrence
     room = F.when((F.col("doc") == F.col("l_doc")) & (F.col("tid") == F.col("l_tid")), F.greatest(F.lit(0), F.col("shift") - (F.col("w1") - F.col("w0")))).otherwise(2 * span)
-    runs = runs.withColumn("room", room.cast("int")).withColumn("more", F.least(equal_words("b.held", "d.held"), "room"))
-    runs = runs.withColumn("less", F.least(equal_words("a.held", "c.held"), F.col("room") - F.col("more")))
+    runs = runs.withColumn("room", room.cast("int"))
     at = lambda side, n: F.element_at(f"{side}.chars", F.col(n) + 1)
-    found = written(runs.select("doc", "l_doc", "l_tid", at("a", "less").alias("start"), at("b", "more").alias("end"), (F.col("w1") - F.col("w0") + F.col("less") + F.col("more")).alias("words"),
-                               at("c", "less").alias("l_start"), at("d", "more").alias("l_end")), "whole")
+    # the words of an end are wide rows: one end is done and written before those of the other one are moved
+    for right, word, l_word, added, place, l_place in [(True, "w1", "l1", "more", "end", "l_end"), (False, "w0", "l0", "less", "start", "l_start")]:
+        side = sides.where(F.col("right") == right)
+        ours = side.select("doc", "tid", F.col("word").alias(word), F.struct("held", "chars").alias("ours"))
+        theirs = side.select(F.col("doc").alias("l_doc"), F.col("tid").alias("l_tid"), F.col("word").alias(l_word), F.struct("held", "chars").alias("theirs"))
+        both = runs.join(ours, ["doc", "tid", word]).join(theirs, ["l_doc", "l_tid", l_word])
+        both = both.withColumn(added, F.least(equal_words("ours.held", "theirs.held"), "room")).withColumn("room", F.col("room") - F.col(added))
+        runs = written(both.select("*", at("ours", added).alias(place), at("theirs", added).alias(l_place)).drop("ours", "theirs"), "extended")
+        dropped(stored)
+        stored = runs
+    dropped(sides)
+    found = runs.select("doc", "l_doc", "l_tid", "start", "end", (F.col("w1") - F.col("w0") + F.col("less") + F.col("more")).alias("words"), "l_start", "l_end")
     # stretches at the ends may be cut alike in some of the copies only; the first occurrence of all names the place
     best = found.groupBy("doc", "start", "end").agg(F.min(F.struct("l_doc", "l_start", "l_end", "l_tid", "words")).alias("b"))
-    return written(best.select("doc", "start", "end", "b.*"), "places")
+    places = written(best.select("doc", "start", "end", "b.*"), "places")
+    dropped(stored)
+    return places
+
+
+def _once(paras: DataFrame, docs: DataFrame) -> DataFrame:
+    """``paras`` without repeated rows, which only documents have that come in several rows; the others are not moved."""
+    several = written(docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "several")
+    paras = paras.select("doc", "start", "length", "words", "low", "high", *_NO_STRETCH)
+    if several.isEmpty():
+        return paras
+    several = small(several)
+    return paras.join(several, "doc", "left_anti").unionByName(paras.join(several, "doc", "left_semi").distinct())
 
 
 def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
@@ -291,10 +314,12 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
     docs = docs.withColumn("tid", F.xxhash64("text"))
     paras = _paragraphs(docs, k, bands, min_words).select("*", *[F.lit(None).cast(t).alias(c) for c, t in _NO_STRETCH.items()])
-    paras = written(paras if span is None else paras.unionByName(_repeated_stretches(docs, k, span)), "paragraphs")
+    again, tables = (None, []) if span is None else _repeated_stretches(docs, k, span)
+    paras = written(paras if span is None else paras.unionByName(again), "paragraphs")
+    dropped(*tables)
     first = F.min(F.struct("doc", "start", "length")).alias("first")
-    reps = paras.groupBy("low", "high").agg(first, F.min("words").alias("words"), F.min(F.struct("doc", "start", "bands")).alias("b"))
-    reps = written(reps.select(F.monotonically_increasing_id().alias("id"), "low", "high", "first", F.col("b.bands").alias("bands")), "reps")
+    reps = paras.groupBy("low", "high").agg(first, F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc", "start", "bands")).alias("b"))
+    reps = written(reps.select(F.monotonically_increasing_id().alias("id"), "low", "high", "first", "rows", F.col("b.bands").alias("bands")), "reps")
     entries = reps.select("id", F.explode("bands").alias("key"))
     heads = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead")).where("m > 1")
     lists = written(entries.join(heads, "key"), "lists")
@@ -305,6 +330,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
     texts = near_docs.join(wanted, "doc").select(F.explode("parts").alias("p"), "text")
     texts = texts.select("p.id", F.substring("text", F.col("p.start") + 1, F.col("p.length")).alias("text")).dropDuplicates(["id"])
     texts = written(texts, "texts")
+    dropped(wanted)
 
     def describe(batches):
         for batch in batches:
@@ -312,13 +338,17 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary())], names=["id", "n", "bits"])
 
     facts = written(texts.mapInArrow(describe, "id long, n long, bits binary"), "facts")
-    lists = written(lists.join(facts.select("id", "n"), "id").select("key", "id", "n", "m", "lead"), "sized")
+    lists, listed = written(lists.join(facts.select("id", "n"), "id").select("key", "id", "n", "m", "lead"), "sized"), lists
+    dropped(listed)
     found = linked_by_lists(lists, facts, texts, k, percent)
-
-    named = reps.join(found, "id", "left").select("low", "high", F.coalesce("component", "id").alias("class"))
-    placed = paras.select("doc", "start", "length", "words", "low", "high", *_NO_STRETCH).distinct().join(named, ["low", "high"])
-    multiple = placed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
-    placed = written(placed.join(multiple, "class"), "placed")
+    dropped(lists, facts, texts)
+
+    named = written(reps.join(found, "id", "left").select("low", "high", "rows", F.coalesce("component", "id").alias("class")), "named")
+    dropped(reps, found)
+    multiple = named.groupBy("class").agg(F.sum("rows").alias("rows")).where("rows > 1").select("class")  # a class of one row repeats nothing
+    placed = _once(paras, docs).join(named.drop("rows").join(multiple, "class"), ["low", "high"])
+    placed = stored = written(placed, "placed")
+    dropped(paras, named)
     order = Window.partitionBy("class", "doc").orderBy("start", "length")  # no more than one document has
     before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     placed = placed.withColumn("apart", (before.isNull() | (F.col("start") >= before)).cast("long"))
@@ -332,6 +362,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, similarity: float = 0.8, min_
     if span is None:
         return out.select(*final)
     out = written(out, "out")
+    dropped(stored)
     as_is = out.where("lead.word IS NULL OR word IS NULL").select(*final)  # classes of lines, and what they share with stretches
     lined = out.where("lead.word IS NULL OR word IS NULL").select("class").distinct()
     kept = out.where("word IS NOT NULL AND lead.word IS NOT NULL AND NOT removed").join(lined, "class", "left_semi").select(*final)

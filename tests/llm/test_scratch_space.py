@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from lotmill.llm import common, shingle_join
+from lotmill.llm import common, passages, shingle_join
 
 rng = random.Random(8)
 
@@ -74,3 +74,19 @@ def test_texts_of_pairs_are_not_shuffled(spark, scratch, copies, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" in plans["sets"] and "SortMergeJoin" not in plans["sets"]
+
+
+def test_passages_leave_only_what_their_result_reads(spark, scratch, copies):
+    found = passages.repeated_passages(copies, span=30)
+    assert set(tables(scratch)) <= {"out", "places", "several"}
+    once = sorted(found.collect())
+    assert {r.doc_id for r in once if r.removed} >= set(range(6, 30))
+    assert sorted(passages.repeated_passages(copies.unionByName(copies.where("doc_id % 2 = 0")), span=30).collect()) == once  # repeated rows count once
+
+
+def test_ends_of_passages_are_moved_one_at_a_time(spark, scratch, copies, monkeypatch):
+    names = []
+    real = common.written
+    monkeypatch.setattr(passages, "written", lambda df, name: names.append(name) or real(df, name))
+    passages.repeated_passages(copies, span=30)
+    assert names.count("extended") == 2
