@@ -108,3 +108,31 @@ def test_hashes_of_copies_are_written_once(spark, monkeypatch):
         ordered = sampling.in_random_order(df)
         assert sorted(r["_h"] for r in ordered.collect()) == want and ordered.columns == [*df.columns, "_h"]
     assert all("_hashes" in columns for columns in tables)
+
+
+def test_whole_newton_steps_take_one_pass(spark, monkeypatch):
+    x, y = _levels()
+    rows = compact.compact(_table(spark, x, y), x.shape[1], 3, "svm")
+    passes, shorter, real, real_shorter = [], [], linear.added, linear._shorter
+    monkeypatch.setattr(linear, "added", lambda *a: passes.append(1) or real(*a))
+    monkeypatch.setattr(linear, "_shorter", lambda *a: shorter.append(1) or real_shorter(*a))
+    w = np.array(linear.squared_hinge(rows, 1.0))
+    assert len(passes) - 2 * len(shorter) <= 15 and len(shorter) < len(passes) / 3
+    full = np.column_stack([x, np.ones(len(x))])
+    for k in range(3):
+        side = np.where(y == k, 1.0, -1.0)
+        slack = np.maximum(0.0, 1.0 - side * (full @ w[k]))
+        assert np.abs(w[k] - 2 * full.T @ (side * slack)).max() < 1e-5
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from lotmill.session import CLEANUP, dropped, written
+
+    before = spark.conf.get(CLEANUP, None)
+    blocks = lambda: sum(1 for b in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if b.startswith("shuffle"))
+    n = blocks()
+    table = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert blocks() <= n and spark.conf.get(CLEANUP, None) == before and table.count() == 7
+    dropped(table)
+    with pytest.raises(Exception):
+        table.collect()
