@@ -102,7 +102,7 @@ def m7_neighbours(spark, sf):
     """The distances of every vector's five nearest of its class, over all components."""
     rows, out = _vectors(spark, sf), None
     for label in (0, 1, 2):
-        near = nearest_neighbours(rows.where(F.col("label") == label).select(F.col("vec_id").alias("id"), "x", F.lit(1).alias("n")))
+        near = nearest_neighbours(rows.where(F.col("label") == label).select(F.col("vec_id").alias("id"), "x", F.lit(1).alias("n")), vectors=False)
         one = near.select(F.lit(label).alias("label"), F.col("id").alias("vec_id"), F.posexplode("near").alias("pos", "e"))
         one = one.select("label", "vec_id", (F.col("pos") + 1).alias("rank"), F.round("e.d", 6).alias("d"))
         out = one if out is None else out.unionByName(one)
